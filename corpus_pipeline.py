@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from rillframe.llm import quality_rules
+from rillframe.llm import decontamination, language_id, near_dedup, packing, quality_rules
 from rillframe.llm.common import staged, table
 
 
@@ -13,8 +13,28 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return quality_rules.keep(docs)
 
 
-STAGES = [("quality_rules", quality)]
-ORACLE_SQL = None
+def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without a language that is known well enough go."""
+    return language_id.keep(docs)
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near duplicates stays, that of the smallest id."""
+    return near_dedup.keep(docs)
+
+
+def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold an item of the benchmark go."""
+    return decontamination.keep(docs, table(spark, sf_dir, "benchmark"))
+
+
+def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """What is left as pieces of token sequences."""
+    return packing.pack_documents(docs)
+
+
+STAGES = [("quality_rules", quality), ("language_id", language), ("near_dedup", near_duplicates), ("decontamination", decontaminated), ("packing", packed)]
+ORACLE_SQL = None  # stages 2, 3 and 5 are models, set similarities over components and an order-dependent packing
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -150,7 +150,7 @@ def fit_references(measured: DataFrame, rule: Divergence = Divergence()) -> Data
     own = sums.join(F.broadcast(frequent), "lang", "left_semi")  # at most max_languages rows
     per = own.unionByName(pooled).groupBy("lang").agg(*[F.sort_array(F.collect_list(F.when(F.col("kind") == k, F.struct("key", "n")))).alias(k) for k in ("char", "word")], F.sum(F.when(F.col("kind") == "words", F.col("n"))).alias("words"))
     counts = F.transform(F.sequence(F.lit(0), F.lit(len(ORDER) - 1)), lambda i: F.element_at(F.transform(F.filter("char", lambda e: e["key"] == i.cast("string")), lambda e: e["n"]), 1))
-    return per.where((F.size("char") > 0) & (F.col("words") > 0)).select("lang", let(counts, lambda c: F.transform(c, lambda n: n / total(c))).alias("chars"), F.map_from_entries(F.transform("word", lambda e: F.struct(e["key"], e["n"] / F.col("words")))).alias("words"))
+    return staged(per.where((F.size("char") > 0) & (F.col("words") > 0)).select("lang", let(counts, lambda c: F.transform(c, lambda n: n / total(c))).alias("chars"), F.map_from_entries(F.transform("word", lambda e: F.struct(e["key"], e["n"] / F.col("words")))).alias("words")), "references")
 
 
 def _part(p: Column, q: Column) -> Column:
@@ -189,17 +189,18 @@ def judge(docs: DataFrame, rule: Divergence = Divergence(), references: DataFram
     A name that ``docs`` has already gets leading underscores (see ``feature_names``).
     """
     names = dict(zip(FEATURES, feature_names(docs), strict=True))
-    seen, lines, key, chars, words, chars0, words0 = unused(docs, "seen", "lines", "ref_lang", "ref_chars", "ref_words", "all_chars", "all_words")
+    seen, lines, key, key0, chars, words = unused(docs, "seen", "lines", "ref_lang", "own_lang", "ref_chars", "ref_words")
     own_columns = [c for c in docs.columns if c != without]
     rows = docs.withColumns({seen: histograms(F.col(text), repeats=True), lines: duplicate_lines(F.coalesce(text, F.lit(""))).cast("long")})
     rows = staged(rows.select(*[F.col(f"`{c}`") for c in own_columns], seen, lines), "measured")  # one pass over the text serves both steps
     references = fit_references(rows.select(F.col(lang).alias("lang"), F.col(seen).alias("h")), rule) if references is None else references
-    own = references.where(F.col("lang").isNotNull()).select(F.col("lang").alias(key), F.col("chars").alias(chars), F.col("words").alias(words))
-    pooled = references.where(F.col("lang").isNull()).select(F.col("chars").alias(chars0), F.col("words").alias(words0))
-    rows = rows.join(F.broadcast(own), F.col(lang).cast("string") == F.col(key), "left").join(F.broadcast(pooled), F.lit(True), "left")  # one row on the right
+    known = [r["lang"] for r in references.where(F.col("lang").isNotNull()).select("lang").collect()]  # at most max_languages
+    refs = references.select(F.coalesce(F.concat(F.lit("="), "lang"), F.lit("all")).alias(key), F.col("chars").alias(chars), F.col("words").alias(words))
+    spoken = F.col(lang).cast("string")
+    rows = rows.withColumn(key0, F.when(spoken.isin(known), F.concat(F.lit("="), spoken)).otherwise("all")).join(F.broadcast(refs), F.col(key0) == F.col(key), "left")
     h = F.col(seen)
-    d_char = F.when(total(h["chars"]) >= rule.min_chars_judged, char_distance(h["chars"], F.coalesce(chars, chars0)))
-    d_word = F.when(h["n_words"] >= rule.min_words_judged, word_distance(h, F.coalesce(words, words0)))
+    d_char = F.when(total(h["chars"]) >= rule.min_chars_judged, char_distance(h["chars"], F.col(chars)))
+    d_word = F.when(h["n_words"] >= rule.min_words_judged, word_distance(h, F.col(words)))
     failed = (h["n_words"] < rule.min_words) | (100 * h["n_repeat_words"] > rule.max_repeat_percent * h["n_words"])
     made = {
         "n_words": h["n_words"], "word_chars": h["word_chars"], "n_symbols": h["chars"][ORDER.index("symbol")], "n_dup_lines": F.col(lines),
