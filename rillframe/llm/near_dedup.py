@@ -6,11 +6,13 @@ of four values (two maps) are the keys of candidates. Links are confirmed on the
 
 1. One pass over the texts stages, per document, its set's size and fingerprint and its band keys; no text moves.
 2. Documents with equal sets form a class; its smallest id represents it. Copies end here, whatever their number.
-3. In each bucket of a band the smallest representative leads. Each member is confirmed against the leader that it
-   shares most buckets with, so a group of thousands of near copies costs one comparison a member.
-4. Components of the confirmed links are found. Within each bucket, pairs of members of different components, if
-   their sizes allow the similarity, are then confirmed too, and components are found again. So each candidate pair
-   is confirmed unless its two documents are linked already, and buckets of one component give no pairs.
+3. In each bucket of a band the member leads whose buckets hold most members: of copies that were each edited
+   differently that is the one they come from. Each member is confirmed against the leader that it shares most buckets
+   with, so a group of thousands of near copies costs one comparison a member; then, if they are in different
+   components, against its other leaders, as many as there are bands at most.
+4. Within each bucket, pairs of members of different components, if their sizes allow the similarity, are then
+   confirmed too, and components are found again. So each candidate pair is confirmed unless its two documents are
+   linked already, and buckets of one component give no pairs.
 
 Minima and counts are combined before shuffles; joins on buckets and sets can be split where they are skewed. Only
 texts that some candidate pair names are moved, once. Nothing is gathered on the driver.
@@ -111,6 +113,23 @@ def confirm(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
     return rows.mapInArrow(run, "a bigint, b bigint")
 
 
+def _apart(pairs: DataFrame, found: DataFrame) -> DataFrame:
+    """Those of ``pairs`` (a, b) that aren't in one component yet."""
+    x, y = (found.select(F.col("node").alias(k), F.col("root").alias(f"root_{k}")) for k in "ab")
+    rows = pairs.join(x, "a", "left").join(y, "b", "left")
+    return rows.where(F.coalesce("root_a", "a") != F.coalesce("root_b", "b"))
+
+
+def _linked(pairs: DataFrame, texts: DataFrame, found: DataFrame | None, config: Config) -> tuple[DataFrame, DataFrame]:
+    """The components after those of ``pairs`` that are confirmed are added to ``found``, and the pairs."""
+    links = staged(confirm(pairs, texts, config.percent), "links")
+    if found is not None:
+        if links.isEmpty():
+            return found, pairs
+        links = links.unionByName(found.select(F.col("root").alias("a"), F.col("node").alias("b")))
+    return components(links, "a", "b"), pairs
+
+
 def near_duplicates(docs: DataFrame, config: Config = Config(), doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """doc_id, n_shingles, component_id (smallest id reachable) and kept (the component's smallest id), per document."""
     docs = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).cast("string").alias("text"))
@@ -118,8 +137,11 @@ def near_duplicates(docs: DataFrame, config: Config = Config(), doc_id: str = "d
     classes = staged(seen.where((F.col("n_shingles") > 0) & F.col("doc_id").isNotNull()).groupBy("fp1", "fp2", "n_shingles").agg(F.min("doc_id").alias("rep")), "classes")
     bands = classes.select(F.col("rep").alias("doc_id"), "fp1", "fp2").join(seen.select("doc_id", "n_shingles", "fp1", "fp2", "bands"), ["doc_id", "fp1", "fp2"]).dropDuplicates(["doc_id", "fp1", "fp2"])
     bands = bands.select(F.col("doc_id").alias("rep"), F.col("n_shingles").alias("n"), F.explode("bands").alias("bucket"))
-    shared = bands.groupBy("bucket").agg(F.min("rep").alias("leader"), F.max("rep").alias("last")).where(F.col("leader") < F.col("last")).select("bucket", "leader")
-    members = staged(bands.join(shared, "bucket").select("bucket", "leader", "rep", "n"), "members")
+    shared = bands.groupBy("bucket").agg(F.count("*").alias("size")).where(F.col("size") > 1)
+    members = staged(bands.join(shared, "bucket"), "members")
+    drawn = members.groupBy("rep").agg(F.sum("size").alias("drawn"))
+    leaders = members.select("bucket", "rep").join(drawn, "rep").groupBy("bucket").agg(F.max(F.struct("drawn", (-F.col("rep")).alias("rep"))).alias("best")).select("bucket", (-F.col("best.rep")).alias("leader"))
+    members = staged(members.join(leaders, "bucket").select("bucket", "leader", "rep", "n"), "members")
     alike = lambda x, y: (100 * F.least(x, y) >= config.percent * F.greatest(x, y))  # noqa: E731  the least that sizes must allow
     sizes = classes.select("rep", F.col("n_shingles").alias("n"))
     needed = members.select(F.col("rep").alias("doc_id")).distinct()
@@ -127,19 +149,20 @@ def near_duplicates(docs: DataFrame, config: Config = Config(), doc_id: str = "d
 
     votes = members.where(F.col("rep") != F.col("leader")).groupBy("rep", "leader", "n").agg(F.count("*").alias("votes"))
     votes = votes.join(sizes.select(F.col("rep").alias("leader"), F.col("n").alias("leader_n")), "leader").where(alike(F.col("n"), F.col("leader_n")))
-    first = votes.groupBy("rep").agg(F.max(F.struct("votes", (-F.col("leader")).alias("leader"))).alias("best")).select((-F.col("best.leader")).alias("a"), F.col("rep").alias("b"))
-    first = staged(first, "pairs")
-    links = staged(confirm(first, texts, config.percent), "links")
-    found = components(links, "a", "b")
+    votes = staged(votes.select(F.col("leader").alias("a"), F.col("rep").alias("b"), "votes"), "votes")
+    first = votes.groupBy("b").agg(F.max(F.struct("votes", (-F.col("a")).alias("a"))).alias("best")).select((-F.col("best.a")).alias("a"), "b")
+    found, tried = _linked(staged(first, "pairs"), texts, None, config)
+    second = _apart(votes.select("a", "b").join(tried, ["a", "b"], "left_anti"), found).select("a", "b")
+    found, more = _linked(staged(second, "pairs"), texts, found, config)
+    tried = tried.unionByName(more)
 
     labelled = staged(members.join(found, F.col("rep") == F.col("node"), "left").select("bucket", "rep", "n", F.coalesce("root", "rep").alias("root")), "labelled")
     mixed = labelled.groupBy("bucket").agg(F.min("root").alias("low"), F.max("root").alias("high")).where(F.col("low") < F.col("high")).select("bucket")
     rest = labelled.join(mixed, "bucket")
     x, y = (rest.select("bucket", F.col("rep").alias(k), F.col("n").alias(f"n_{k}"), F.col("root").alias(f"root_{k}")) for k in "ab")
-    second = x.join(y, "bucket").where((F.col("a") < F.col("b")) & (F.col("root_a") != F.col("root_b")) & alike(F.col("n_a"), F.col("n_b"))).select("a", "b").distinct()
-    second = staged(second.join(first, ["a", "b"], "left_anti"), "pairs")
-    more = staged(confirm(second, texts, config.percent), "links")
-    joined = components(more.unionByName(found.select(F.col("root").alias("a"), F.col("node").alias("b"))), "a", "b") if not more.isEmpty() else found
+    third = x.join(y, "bucket").where((F.col("a") < F.col("b")) & (F.col("root_a") != F.col("root_b")) & alike(F.col("n_a"), F.col("n_b"))).select("a", "b").distinct()
+    known = tried.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    joined, _ = _linked(staged(third.join(known, ["a", "b"], "left_anti"), "pairs"), texts, found, config)
 
     named = classes.join(joined, F.col("rep") == F.col("node"), "left").select("fp1", "fp2", F.col("n_shingles").alias("n"), F.coalesce("root", "rep").alias("root"))
     rows = seen.select("doc_id", "n_shingles", "fp1", "fp2").alias("s").join(named.alias("c"), (F.col("s.fp1") == F.col("c.fp1")) & (F.col("s.fp2") == F.col("c.fp2")) & (F.col("s.n_shingles") == F.col("c.n")), "left")
