@@ -10,9 +10,9 @@ of four values (two maps) are the keys of candidates. Links are confirmed on the
    differently that is the one they come from. Each member is confirmed against the leader that it shares most buckets
    with, so a group of thousands of near copies costs one comparison a member; then, if they are in different
    components, against its other leaders, as many as there are bands at most.
-4. Within each bucket, pairs of members of different components, if their sizes allow the similarity, are then
-   confirmed too, and components are found again. So each candidate pair is confirmed unless its two documents are
-   linked already, and buckets of one component give no pairs.
+4. Within each bucket, pairs of members of different components are then confirmed too, unless the shingles that only
+   one of them has, or their sizes, rule the similarity out; and components are found again. So each candidate pair is
+   confirmed, ruled out by an exact bound, or linked already.
 
 Minima and counts are combined before shuffles; joins on buckets and sets can be split where they are skewed. Only
 texts that some candidate pair names are moved, once. Nothing is gathered on the driver.
@@ -130,6 +130,62 @@ def _linked(pairs: DataFrame, texts: DataFrame, found: DataFrame | None, config:
     return components(links, "a", "b"), pairs
 
 
+def _unique_shingles(reps: DataFrame, texts: DataFrame) -> DataFrame:
+    """(rep, own): how many shingles of each representative no other of them has."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, 256):
+                part = batch.slice(at, 256)
+                sets = list(shingle_sets([prepared(t) for t in part.column(1).to_pylist()]))
+                owner = np.repeat(part.column(0).to_numpy(), [len(s) for s in sets])
+                yield pa.RecordBatch.from_arrays([pa.array(owner, pa.int64()), pa.array(np.concatenate(sets).view(np.int64))], names=["rep", "h"])
+
+    rows = texts.join(reps.select(F.col("rep").alias("doc_id")), "doc_id").select("doc_id", "text").mapInArrow(run, "rep bigint, h bigint")
+    return rows.groupBy("h").agg(F.count("*").alias("n"), F.min("rep").alias("rep")).where(F.col("n") == 1).groupBy("rep").agg(F.count("*").alias("own"))
+
+
+BITS = 1024
+
+
+def _parities(reps: DataFrame, texts: DataFrame) -> DataFrame:
+    """(rep, parity): how many of each set's hashes fall on each of BITS places, modulo 2, as 64-bit words."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            words = [np.packbits(np.bincount((s % np.uint64(BITS)).astype(np.int64), minlength=BITS).astype(np.uint8) & 1).view(np.int64) for s in shingle_sets([prepared(t) for t in batch.column(1).to_pylist()])]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(words, pa.list_(pa.int64()))], names=["rep", "parity"])
+
+    return texts.join(reps.select(F.col("rep").alias("doc_id")), "doc_id").select("doc_id", "text").mapInArrow(run, "rep bigint, parity array<bigint>")
+
+
+def _possible(rest: DataFrame, unique: DataFrame, parities: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) within buckets, of different components, that can be similar enough.
+
+    A set of n shingles, ``own`` of them nowhere else, shares n - own with any other at most; so a partner of m shingles
+    needs m <= ((100 + percent) * (n - own) - percent * n) / percent, and percent * n <= 100 * m. Many copies of
+    one text, each edited too much to be alike, fall out here before they are paired: each has so many shingles of its
+    own that only much smaller sets could be its partners. Sets are paired by bucket and class of size, the larger
+    with the smaller, where a class holds more than one component. Places at which the parities of two sets differ are
+    no more than elements that only one of them has, so too many of them rule a pair out as well.
+    """
+    rows = rest.join(unique, "rep", "left").join(parities, "rep").withColumn("own", F.coalesce("own", F.lit(0)))
+    rows = rows.withColumn("most", F.floor(((100 + percent) * (F.col("n") - F.col("own")) - percent * F.col("n")) / percent))
+    size_class = lambda n: F.floor(F.log(n.cast("double")) / F.log(F.lit(1.05))).cast("int")
+    least, most = F.ceil(percent * F.col("n") / 100), F.least("n", "most")
+    larger = rows.where(most >= least).withColumn("class", F.explode(F.sequence(size_class(least), size_class(most)))).withColumn("smaller", F.lit(False))
+    smaller = rows.where(F.col("most") >= F.col("n")).withColumn("class", size_class(F.col("n"))).withColumn("smaller", F.lit(True))
+    both = staged(larger.unionByName(smaller).select("bucket", "class", "smaller", "rep", "n", "most", "root", "parity"), "possible")
+    sides = both.groupBy("bucket", "class").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.bool_or("smaller").alias("s"), F.bool_and("smaller").alias("t"))
+    both = both.join(sides.where((F.col("low") < F.col("high")) & F.col("s") & ~F.col("t")).select("bucket", "class"), ["bucket", "class"])
+    x, y = (both.where(F.col("smaller") == (k == "y")).select("bucket", "class", *[F.col(c).alias(f"{c}_{k}") for c in ("rep", "n", "most", "root", "parity")]) for k in "xy")
+    fits = (F.col("root_x") != F.col("root_y")) & (F.col("n_y") <= F.col("n_x")) & (F.col("n_y") <= F.col("most_x")) & (F.col("n_x") <= F.col("most_y")) & (100 * F.col("n_y") >= percent * F.col("n_x"))
+    total = F.col("n_x") + F.col("n_y")
+    differ = F.aggregate(F.zip_with("parity_x", "parity_y", lambda i, j: F.bit_count(i.bitwiseXOR(j))), F.lit(0), lambda i, j: i + j)
+    fits = fits & (differ <= total - 2 * F.ceil(percent * total / (100 + percent)))
+    return x.join(y, ["bucket", "class"]).where(fits).select(F.least("rep_x", "rep_y").alias("a"), F.greatest("rep_x", "rep_y").alias("b")).distinct()
+
+
 def near_duplicates(docs: DataFrame, config: Config = Config(), doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """doc_id, n_shingles, component_id (smallest id reachable) and kept (the component's smallest id), per document."""
     docs = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).cast("string").alias("text"))
@@ -158,9 +214,9 @@ def near_duplicates(docs: DataFrame, config: Config = Config(), doc_id: str = "d
 
     labelled = staged(members.join(found, F.col("rep") == F.col("node"), "left").select("bucket", "rep", "n", F.coalesce("root", "rep").alias("root")), "labelled")
     mixed = labelled.groupBy("bucket").agg(F.min("root").alias("low"), F.max("root").alias("high")).where(F.col("low") < F.col("high")).select("bucket")
-    rest = labelled.join(mixed, "bucket")
-    x, y = (rest.select("bucket", F.col("rep").alias(k), F.col("n").alias(f"n_{k}"), F.col("root").alias(f"root_{k}")) for k in "ab")
-    third = x.join(y, "bucket").where((F.col("a") < F.col("b")) & (F.col("root_a") != F.col("root_b")) & alike(F.col("n_a"), F.col("n_b"))).select("a", "b").distinct()
+    rest = staged(labelled.join(mixed, "bucket"), "rest")
+    reps = staged(rest.select("rep").distinct(), "reps")
+    third = _possible(rest, _unique_shingles(reps, texts), staged(_parities(reps, texts), "parities"), config.percent)
     known = tried.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
     joined, _ = _linked(staged(third.join(known, ["a", "b"], "left_anti"), "pairs"), texts, found, config)
 
