@@ -2,5 +2,291 @@
 
 from __future__ import annotations
 
-QUERIES: dict = {}
-ORACLES: dict = {}
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from rillframe.functions.expressions import arm, diffed_status, float_list, frame_count, gripper, head_tail_sha, initial_status, issues, rate, rounded, zscore
+from rillframe.functions.hashing import sha_unit, split_of, unit_hash
+from rillframe.operators import align, manifest
+from rillframe.operators.moments import reduce_moments, usable
+from rillframe.operators.ordered import ordering_summary
+from rillframe.plans.steps import split_counts
+from rillframe.sources.jsonl import parse_ids
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+ORACLES: dict[str, str] = {}
+
+
+def query(sql: str | None = None):
+    def add(f):
+        QUERIES[f.__name__] = f
+        if sql:
+            ORACLES[f.__name__] = sql
+        return f
+
+    return add
+
+
+def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def _ordering_sql(table: str, key: str, order: str, value: str, more: str = "") -> str:
+    return f"""
+WITH d AS (SELECT {key}, {order}, {value}, lag({order}) OVER w AS po, lag({value}) OVER w AS pv FROM {table} WINDOW w AS (PARTITION BY {key} ORDER BY {order}))
+SELECT {key}, count(*) AS n_rows, min({order}) AS min_order, max({order}) AS max_order,
+       bool_and(coalesce({order} > po, true)) AS {order}_sorted, bool_and(coalesce({value} >= pv, true)) AS {value}_sorted,
+       arg_min({value}, {order}) AS {value}_first, arg_max({value}, {order}) AS {value}_last
+FROM d GROUP BY {key}"""
+
+
+def _ordering(df: DataFrame, key: str, order: str, value: str, width: int) -> DataFrame:
+    counts = [F.count("*").alias("n_rows"), F.min(order).alias("min_order"), F.max(order).alias("max_order")]
+    return ordering_summary(df.select(key, order, value), [key], order, strict=[order], ascending=[value], ends=[value], aggregates=counts, width=width)
+
+
+@query(_ordering_sql("events", "user_id", "event_id", "ts"))
+def ordering_check(spark, sf_dir):
+    return _ordering(read(spark, sf_dir, "events"), "user_id", "event_id", "ts", 1_000_000)
+
+
+@query(_ordering_sql("orders", "o_custkey", "o_orderkey", "o_orderdate"))
+def ordering_check_orders(spark, sf_dir):
+    """With blocks that are narrow enough to cut customers' orders apart."""
+    return _ordering(read(spark, sf_dir, "orders"), "o_custkey", "o_orderkey", "o_orderdate", 1_000_000)
+
+
+@query("""
+WITH u AS (SELECT *, row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY l_partkey, l_suppkey, l_quantity, l_extendedprice) AS rn FROM lineitem),
+n AS (SELECT l_orderkey, l_linenumber AS line, l_partkey, l_quantity, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber) - 1 AS frame_index FROM u WHERE rn = 1)
+SELECT l_orderkey, frame_index, l_partkey FROM n WHERE l_quantity > 5""")
+def dedupe_reindex(spark, sf_dir):
+    """First of duplicates, numbered, and then filtered: the numbers of filtered rows stay unused."""
+    rows = read(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", F.struct("l_partkey", "l_suppkey", "l_quantity", "l_extendedprice").alias("tie"), "l_quantity")
+    done = align.dedupe_and_number(rows, ["l_orderkey"], "l_linenumber", "tie").where(F.col("l_quantity") > 5)
+    return done.select("l_orderkey", F.col("l_linenumber").alias("frame_index"), "l_partkey")
+
+
+@query("""
+SELECT dim, count(*) AS "count", round(avg(x), 6) + 0.0 AS mean, round(stddev_pop(x), 6) + 0.0 AS std, round(min(x), 6) + 0.0 AS "min", round(max(x), 6) + 0.0 AS "max"
+FROM (SELECT unnest(range(len(embedding))) AS dim, unnest(embedding)::DOUBLE AS x FROM embeddings) GROUP BY dim""")
+def weighted_moments(spark, sf_dir):
+    """Statistics per label, reduced to those of all rows; the SQL computes the latter directly."""
+    rows = read(spark, sf_dir, "embeddings").select("label", F.posexplode("embedding").alias("dim", "x")).select("label", "dim", F.col("x").cast("double").alias("x"))
+    own = rows.groupBy("label", "dim").agg(F.count("*").alias("n"), F.avg("x").alias("mean"), F.stddev_pop("x").alias("std"), F.min("x").alias("min"), F.max("x").alias("max"))
+    vector = lambda c: F.transform(F.array_sort(F.collect_list(F.struct("dim", c))), lambda e: e[c]).alias(c)  # noqa: E731  a row per dimension
+    stats = own.groupBy("label").agg(F.max("n").alias("n"), *[vector(c) for c in ("mean", "std", "min", "max")]).withColumn("feature", F.lit("embedding"))
+    done = reduce_moments(usable(stats, ["feature"])[0], ["feature"])
+    return done.select("dim", "count", *[rounded(F.col(c)).alias(c) for c in ("mean", "std", "min", "max")])
+
+
+@query("""
+WITH e AS (SELECT vec_id, unnest(range(len(embedding))) AS dim, unnest(embedding)::DOUBLE AS x FROM embeddings),
+s AS (SELECT dim, avg(x) AS mu, stddev_pop(x) AS sd FROM e GROUP BY dim)
+SELECT vec_id, dim, round(((x - mu) / CASE WHEN sd = 0 THEN 1 ELSE sd END)::FLOAT::DOUBLE, 4) + 0.0 AS z FROM e JOIN s USING (dim)""")
+def vector_zscore(spark, sf_dir):
+    rows = read(spark, sf_dir, "embeddings")
+    dims = rows.select(F.posexplode("embedding").alias("dim", "x")).groupBy("dim").agg(F.avg(F.col("x").cast("double")).alias("mu"), F.stddev_pop(F.col("x").cast("double")).alias("sd"))
+    stats = dims.groupBy().agg(F.array_sort(F.collect_list(F.struct("dim", "mu", "sd"))).alias("s"))  # a row per dimension
+    joined = rows.join(F.broadcast(stats))  # one row
+    done = joined.select("vec_id", F.posexplode(zscore(F.col("embedding"), F.col("s.mu"), F.col("s.sd"))).alias("dim", "z"))
+    return done.select("vec_id", "dim", rounded(F.col("z").cast("double"), 4).alias("z"))
+
+
+_UNIT = "(('0x' || substr(sha256(o_orderkey::VARCHAR), 1, 13))::BIGINT / 4503599627370496.0)"
+
+
+@query(f"SELECT o_orderkey, CASE WHEN {_UNIT} < 0.8 THEN 'train' WHEN {_UNIT} < 0.9 THEN 'val' ELSE 'test' END AS split FROM orders")
+def hash_split(spark, sf_dir):
+    return read(spark, sf_dir, "orders").select("o_orderkey", split_of(sha_unit(F.col("o_orderkey").cast("string")), 0.8, 0.1, 0.1).alias("split"))
+
+
+@query()
+def split_blake2b(spark, sf_dir):
+    """By keyed BLAKE2b, which SQL lacks; held against golden values in the tests."""
+    return read(spark, sf_dir, "orders").select("o_orderkey", split_of(unit_hash(42)(F.col("o_orderkey"))).alias("split"))
+
+
+@query(f"""
+WITH s AS (SELECT CASE WHEN {_UNIT} < 0.8 THEN 'train' WHEN {_UNIT} < 0.9 THEN 'val' ELSE 'test' END AS split FROM orders)
+SELECT split, count(s.split) AS episodes FROM (VALUES ('train'), ('val'), ('test')) v(split) LEFT JOIN s USING (split) GROUP BY split""")
+def split_counts_orders(spark, sf_dir):
+    return split_counts(hash_split(spark, sf_dir))
+
+
+@query("SELECT doc_id, sha256(text) AS sha, sha256(CASE WHEN strlen(text) > 64 THEN encode(text)[1:64] || encode(text)[strlen(text)-63:strlen(text)] ELSE encode(text) END) AS sampled FROM documents")
+def content_fingerprint(spark, sf_dir):
+    content = F.col("text").cast("binary")
+    return read(spark, sf_dir, "documents").select("doc_id", F.sha2(content, 256).alias("sha"), head_tail_sha(content, 64).alias("sampled"))
+
+
+_SNAPSHOTS = """
+WITH prev AS (SELECT doc_id, source, sha256(text) AS fp FROM documents WHERE doc_id % 5 <> 0),
+cur AS (SELECT doc_id, source, CASE WHEN doc_id % 11 = 0 THEN NULL WHEN doc_id % 7 = 0 THEN sha256(text || 'x') ELSE sha256(text) END AS fp, doc_id % 3 <> 0 AS complete FROM documents WHERE doc_id % 13 <> 0),
+diffed AS (
+  SELECT doc_id, source, CASE WHEN cur.fp IS NULL THEN 'ERROR' WHEN cur.fp = prev.fp THEN 'UNCHANGED' WHEN NOT complete THEN 'MISSING_SIDE' WHEN prev.fp IS NOT NULL THEN 'CHANGED' ELSE 'NEW' END AS status
+  FROM cur LEFT JOIN prev USING (doc_id, source)
+  UNION ALL SELECT doc_id, source, 'DELETED' FROM prev WHERE (doc_id, source) NOT IN (SELECT (doc_id, source) FROM cur))
+"""
+
+
+def _snapshots(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
+    docs = read(spark, sf_dir, "documents")
+    sha = lambda c: F.sha2(c, 256)
+    previous = docs.where(F.col("doc_id") % 5 != 0).select("doc_id", "source", sha(F.col("text")).alias("fingerprint"), F.lit("NEW").alias("status"))
+    changed = F.when(F.col("doc_id") % 11 == 0, None).when(F.col("doc_id") % 7 == 0, sha(F.concat("text", F.lit("x")))).otherwise(sha(F.col("text")))
+    current = docs.where(F.col("doc_id") % 13 != 0).select("doc_id", "source", changed.alias("fingerprint"), initial_status(F.lit(False), F.col("doc_id") % 3 != 0).alias("status"))
+    return current, previous
+
+
+@query(_SNAPSHOTS + "SELECT * FROM diffed")
+def manifest_diff(spark, sf_dir):
+    current, previous = _snapshots(spark, sf_dir)
+    keys = ["doc_id", "source"]
+    gone = manifest.deleted(current, previous, keys).withColumn("status", F.lit("DELETED"))
+    return manifest.with_status(current, previous, keys).select(*keys, "status").unionByName(gone)
+
+
+@query(_SNAPSHOTS + "SELECT * FROM diffed WHERE status <> 'UNCHANGED'")
+def manifest_delta(spark, sf_dir):
+    return manifest.delta(manifest_diff(spark, sf_dir))
+
+
+@query(_SNAPSHOTS + "SELECT * FROM diffed WHERE status NOT IN ('UNCHANGED', 'DELETED')")
+def manifest_actionable(spark, sf_dir):
+    return manifest.actionable(manifest_diff(spark, sf_dir))
+
+
+@query("""SELECT label, bool_or(vec_id IS NULL OR embedding IS NULL) AS any_null, max(len(embedding)) AS max_width, min(len(embedding)) AS min_width,
+  count(*) FILTER (WHERE len(embedding) = 64) AS fitting FROM embeddings GROUP BY label""")
+def null_and_width_rules(spark, sf_dir):
+    rows = read(spark, sf_dir, "embeddings")
+    width = F.size("embedding")
+    return rows.groupBy("label").agg(F.bool_or(F.col("vec_id").isNull() | F.col("embedding").isNull()).alias("any_null"), F.max(width).cast("bigint").alias("max_width"), F.min(width).cast("bigint").alias("min_width"), F.count_if(width == 64).alias("fitting"))
+
+
+@query("SELECT label, count(*) AS n FROM embeddings WHERE len(embedding) = 64 AND vec_id % 4 <> 1 GROUP BY label")
+def exact_width(spark, sf_dir):
+    rows = read(spark, sf_dir, "embeddings").withColumn("embedding", F.when(F.col("vec_id") % 4 == 1, F.slice("embedding", 1, 63)).otherwise(F.col("embedding")))
+    return align.exact_width(rows, ["embedding"], 64).groupBy("label").agg(F.count("*").alias("n"))
+
+
+@query("SELECT vec_id, round(list_sum(embedding[1:7]::DOUBLE[]), 4) + 0.0 AS arm, len(embedding[1:7]) AS arm_width, round(embedding[8]::DOUBLE, 4) + 0.0 AS gripper FROM embeddings")
+def vector_slices(spark, sf_dir):
+    own = arm(F.col("embedding"))
+    total = F.aggregate(own, F.lit(0.0), lambda a, x: a + x.cast("double"))
+    return read(spark, sf_dir, "embeddings").select("vec_id", rounded(total, 4).alias("arm"), F.size(own).cast("bigint").alias("arm_width"), rounded(gripper(F.col("embedding")).getItem(0).cast("double"), 4).alias("gripper"))
+
+
+@query("""SELECT o_orderkey, array_to_string(list_filter([CASE WHEN o_totalprice > 200000 THEN 'large:' || o_orderstatus END, CASE WHEN o_orderstatus = 'F' THEN 'final:' END,
+  CASE WHEN o_orderkey % 3 = 0 THEN 'third:' || o_custkey END], lambda x: x IS NOT NULL), ',') AS issues FROM orders""")
+def issues_array(spark, sf_dir):
+    rules = [(F.col("o_totalprice") > 200000, "large", F.col("o_orderstatus")), (F.col("o_orderstatus") == "F", "final", None), (F.col("o_orderkey") % 3 == 0, "third", F.col("o_custkey"))]
+    text = F.transform(issues(*rules), lambda e: F.concat(e["code"], F.lit(":"), F.coalesce(e["detail"], F.lit(""))))
+    return read(spark, sf_dir, "orders").select("o_orderkey", F.array_join(text, ",").alias("issues"))
+
+
+@query("SELECT d.doc_id, CASE WHEN d.doc_id % 17 = 0 THEN 'PENDING' WHEN l.doc_id IS NULL THEN 'MISSING_SIDE' ELSE 'NEW' END AS status FROM documents d LEFT JOIN (SELECT DISTINCT doc_id FROM labels) l USING (doc_id)")
+def missing_side(spark, sf_dir):
+    side = read(spark, sf_dir, "labels").select("doc_id", F.lit(True).alias("has")).dropDuplicates(["doc_id"])
+    rows = read(spark, sf_dir, "documents").select("doc_id").join(side, "doc_id", "left")
+    return rows.select("doc_id", initial_status(F.col("doc_id") % 17 == 0, F.coalesce("has", F.lit(False))).alias("status"))
+
+
+@query("SELECT o_orderkey FROM orders WHERE o_orderkey NOT IN (SELECT l_orderkey FROM lineitem)")
+def orphans(spark, sf_dir):
+    return manifest.orphans(read(spark, sf_dir, "orders").select("o_orderkey"), read(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("o_orderkey")), ["o_orderkey"])
+
+
+@query("""SELECT o_orderkey, n AS rows, o_orderkey % 7 AS expected, CASE WHEN n IS NULL THEN NULL ELSE abs(o_orderkey % 7 - n) > 2 END AS off
+  FROM orders LEFT JOIN (SELECT l_orderkey, count(*) AS n FROM lineitem GROUP BY 1) ON l_orderkey = o_orderkey""")
+def rows_vs_meta(spark, sf_dir):
+    counts = read(spark, sf_dir, "lineitem").groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(F.count("*").alias("rows"))
+    expected = F.col("o_orderkey") % 7
+    return read(spark, sf_dir, "orders").select("o_orderkey").join(counts, "o_orderkey", "left").select("o_orderkey", "rows", expected.alias("expected"), (F.abs(expected - F.col("rows")) > 2).alias("off"))
+
+
+@query("SELECT doc_id, n_chars FROM documents WHERE doc_id IN (SELECT doc_id FROM labels WHERE quality = 1)")
+def validated_semi(spark, sf_dir):
+    ids = read(spark, sf_dir, "labels").where("quality = 1").select("doc_id")
+    return read(spark, sf_dir, "documents").select("doc_id", "n_chars").join(ids, "doc_id", "left_semi")
+
+
+@query(f"""
+SELECT o_orderkey, split, 'split=' || split || '/chunk=' || status || '/episode_' || lpad(o_orderkey::VARCHAR, 6, '0') || '.parquet' AS path, num_rows
+FROM (SELECT o_orderkey, o_orderstatus AS status, CASE WHEN {_UNIT} < 0.8 THEN 'train' WHEN {_UNIT} < 0.9 THEN 'val' ELSE 'test' END AS split FROM orders)
+JOIN (SELECT l_orderkey, count(*) AS num_rows FROM lineitem GROUP BY 1) ON l_orderkey = o_orderkey""")
+def dataset_index(spark, sf_dir):
+    rows = read(spark, sf_dir, "lineitem").groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(F.count("*").alias("num_rows"))
+    named = hash_split(spark, sf_dir).join(read(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus"), "o_orderkey").join(rows, "o_orderkey")
+    return named.select("o_orderkey", "split", F.format_string("split=%s/chunk=%s/episode_%06d.parquet", "split", "o_orderstatus", "o_orderkey").alias("path"), "num_rows")
+
+
+@query("""SELECT event_id, json_extract_string(props, '$.k')::BIGINT AS k FROM events""")
+def json_extract(spark, sf_dir):
+    return read(spark, sf_dir, "events").select("event_id", F.get_json_object("props", "$.k").try_cast("bigint").alias("k"))
+
+
+_SHAPES = "CASE event_id % 5 WHEN 0 THEN '{\"count\": ' || user_id || '}' WHEN 1 THEN '{\"count\": [' || user_id || ', 7]}' WHEN 2 THEN '{\"frames\": ' || user_id || '}' WHEN 3 THEN '{}' ELSE '{\"count\": \"x\", \"count_total\": ' || user_id || '}' END"
+
+
+@query("SELECT event_id, CASE WHEN event_id % 5 = 3 THEN NULL ELSE user_id END AS n FROM events")
+def flexible_counts(spark, sf_dir):
+    """A frame count in any of its shapes."""
+    return read(spark, sf_dir, "events").select("event_id", frame_count(F.expr(_SHAPES)).alias("n"))
+
+
+@query("SELECT event_id, (CASE event_id % 4 WHEN 0 THEN 1 WHEN 1 THEN 2 ELSE NULL END)::INTEGER AS width, CASE WHEN event_id % 4 < 2 THEN user_id::DOUBLE END AS first FROM events")
+def flexible_vectors(spark, sf_dir):
+    """A number, a list, a nested list and null as vectors."""
+    shapes = F.expr("CASE event_id % 4 WHEN 0 THEN '' || user_id WHEN 1 THEN '[' || user_id || ', 1.5]' WHEN 2 THEN '[[' || user_id || ']]' END")
+    v = float_list(shapes)
+    return read(spark, sf_dir, "events").select("event_id", F.when(v.isNotNull(), F.size(v)).alias("width"), F.get(v, F.lit(0)).alias("first"))
+
+
+@query("SELECT DISTINCT user_id AS episode_index FROM events WHERE event_id % 5 < 4")
+def tolerant_ids(spark, sf_dir):
+    """Ids from lines of JSON, CSV and bare numbers; bad lines count for nothing."""
+    lines = F.expr("CASE event_id % 5 WHEN 0 THEN '{\"episode_index\": ' || user_id || '}' WHEN 1 THEN '{\"episode\": ' || user_id || '}' WHEN 2 THEN 'a,b,' || user_id WHEN 3 THEN ' ' || user_id ELSE '[1, ' || user_id || ']' END")
+    return parse_ids(read(spark, sf_dir, "events").select(lines.alias("value")))
+
+
+@query("SELECT event_id, CASE event_id % 3 WHEN 0 THEN 30.0 WHEN 1 THEN user_id::DOUBLE END AS fps FROM events")
+def frame_rates(spark, sf_dir):
+    return read(spark, sf_dir, "events").select("event_id", rate(F.expr("CASE event_id % 3 WHEN 0 THEN '60/2' WHEN 1 THEN user_id || '/0' ELSE 'none' END")).alias("fps"))
+
+
+@query("SELECT event_type, count(*) AS n FROM events WHERE ts >= (SELECT min(ts) FROM events) + INTERVAL 1 HOUR AND event_type IN ('click', 'view', 'purchase') GROUP BY 1")
+def since_and_allow_list(spark, sf_dir):
+    rows = read(spark, sf_dir, "events")
+    first = rows.agg(F.min("ts")).first()[0]
+    return rows.where((F.col("ts") >= F.lit(first) + F.expr("INTERVAL 1 HOUR")) & F.col("event_type").isin("click", "view", "purchase")).groupBy("event_type").agg(F.count("*").alias("n"))
+
+
+@query("SELECT count(*) AS total, count(*) FILTER (WHERE quality = 1) AS ok, count(*) FILTER (WHERE quality <> 1) AS fail FROM labels")
+def validation_summary(spark, sf_dir):
+    return read(spark, sf_dir, "labels").agg(F.count("*").alias("total"), F.count_if(F.col("quality") == 1).alias("ok"), F.count_if(F.col("quality") != 1).alias("fail"))
+
+
+@query("SELECT source, sum(strlen(text))::BIGINT AS bytes_total, count(*) AS files FROM documents GROUP BY source")
+def bytes_total(spark, sf_dir):
+    return read(spark, sf_dir, "documents").groupBy("source").agg(F.sum(F.octet_length("text").cast("bigint")).alias("bytes_total"), F.count("*").alias("files"))
+
+
+@query("SELECT event_id, user_id FROM events WHERE NOT isnan(value) AND value IS NOT NULL AND user_id IS NOT NULL AND event_id % 6 <> 0")
+def complete_rows(spark, sf_dir):
+    """Neither null nor NaN, where every sixth value is made NaN or null."""
+    broken = F.when(F.col("event_id") % 12 == 0, F.lit(float("nan"))).when(F.col("event_id") % 6 == 0, None).otherwise(F.col("value"))
+    rows = read(spark, sf_dir, "events").withColumn("value", broken)
+    return align.complete(rows, ["value", "user_id"], ["value"]).select("event_id", "user_id")
+
+
+@query("""SELECT user_id, CASE WHEN ok THEN 'ok' WHEN bad THEN 'changed' ELSE 'new' END AS state FROM (
+  SELECT user_id, user_id % 3 = 0 AS ok, user_id % 3 = 1 AS bad FROM (SELECT DISTINCT user_id FROM events))""")
+def status_case(spark, sf_dir):
+    ids = read(spark, sf_dir, "events").select("user_id").distinct()
+    previous = F.when(F.col("user_id") % 3 == 0, "a").when(F.col("user_id") % 3 == 1, "b")
+    status = diffed_status(F.lit("a"), previous, F.lit("NEW"))
+    return ids.select("user_id", F.when(status == "UNCHANGED", "ok").when(status == "CHANGED", "changed").otherwise("new").alias("state"))
