@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rillframe.llm import decontamination, language_id, near_dedup, packing, quality_classifier, quality_rules, sharding
+from rillframe.llm import decontamination, language_id, near_dedup, oracles, packing, quality_classifier, quality_rules, sharding
 from rillframe.llm.common import crc_fold, table
 
 
@@ -48,4 +48,4 @@ def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_language_id, op3_best_fit_packing, op4_quality_classifier, op5_decontamination, op7_near_dedup, op8_sharding)}
 
-ORACLES: dict[str, str] = {}
+ORACLES = {"op1_quality_rules": oracles.OP1, "op7_near_dedup": oracles.OP7}
