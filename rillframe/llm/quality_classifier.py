@@ -6,7 +6,8 @@ text's score. Only texts have labels; encoder and attention learn from those by
 
 The model is fitted on the driver on a bounded sample: ``per_class`` labelled texts of each class, ``bag`` passages of
 each. Application reads every byte of every text, in one pass without a shuffle and in blocks of bounded memory:
-a text's attention is summed over its blocks, so a text of any length is one bag.
+a text's attention is summed over its blocks, so a text of any length is one bag. The sample has as many texts of one
+class as of the other; the score's odds are set back to those of all labels.
 
 Defined cases: a null or empty text is a bag of one empty passage and gets that bag's score; without labelled rows
 every score is 0.5; contradicting labels of one id count by their mean (a tie as 1); equal texts get equal scores;
@@ -15,6 +16,7 @@ rows and other columns of the input are kept.
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -139,7 +141,13 @@ def fit(docs: DataFrame, labels: DataFrame, config: Config = Config(), doc_id: s
     cut = F.coalesce(F.substring(F.col(text), start.cast("int"), F.lit(chars)), F.lit(""))
     found = docs.join(F.broadcast(wanted), F.col(doc_id) == F.col("key")).select("key", "label", cut.alias("text")).groupBy("key").agg(F.min("label").alias("label"), F.min("text").alias("text")).collect()
     found.sort(key=lambda r: str(r["key"]))
-    return train([r["text"].encode("utf-8", "replace") for r in found], [r["label"] for r in found], config) if found else None
+    if not found:
+        return None
+    model = train([r["text"].encode("utf-8", "replace") for r in found], [r["label"] for r in found], config)
+    odds = lambda n: np.log((n.get(1, 0) + 1) / (n.get(0, 0) + 1))
+    every = {r["label"]: r["count"] for r in known.groupBy("label").count().collect()}
+    model.params["d"] += odds(every) - odds(Counter(r["label"] for r in found))  # the sample's classes are even, the labels' aren't
+    return model
 
 
 def predict(docs: DataFrame, model: GatedAttention | None, text: str = "text") -> DataFrame:
