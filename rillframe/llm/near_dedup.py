@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rillframe.llm.common import staged
+from rillframe.llm.common import staged, unused
 from rillframe.llm.components import components
 from rillframe.llm.shingles import mix, prepared, shingle_sets
 
@@ -228,5 +228,6 @@ def near_duplicates(docs: DataFrame, config: Config = Config(), doc_id: str = "d
 
 def keep(docs: DataFrame, config: Config = Config(), doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """The rows of ``docs`` that near_duplicates keeps, with its columns."""
-    gone = near_duplicates(docs, config, doc_id, text).where(~F.col("kept")).select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(gone, F.col(doc_id) == F.col("_gone"), "left_anti")
+    key = unused(docs, "gone")[0]
+    gone = near_duplicates(docs, config, doc_id, text).where(~F.col("kept")).select(F.col("doc_id").alias(key)).distinct()
+    return docs.join(gone, F.col(doc_id) == F.col(key), "left_anti")

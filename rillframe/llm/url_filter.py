@@ -7,7 +7,7 @@ in a row is odd. That is exact for each key of the universe the cascade was buil
 corpus's complete set of keys: every host with each of its parent domains.
 
 The filters go to the executors as constants of the plan; no row is joined. Their size is known before they are
-gathered: if the bits of a level would exceed ``max_level_bits``, ``listed_keys`` tests by a shuffled semi-join.
+gathered: if the bits of a level would exceed ``max_level_bits``, hosts meet the list in a shuffled semi-join instead.
 
 Defined cases: a null url, or one without "://", has an empty host and path and no key, so no rule fits and nothing
 is listed; a host without a dot is its own only key; empty tables give empty results; equal rows get equal verdicts;
@@ -143,7 +143,7 @@ def filter_urls(pages: DataFrame, rules: list[Rule], listed: DataFrame, url: str
 
     ``listed`` has a column host.
     """
-    host, path, rule, verdict = unused(pages, "host", "path", "rule", "verdict")
+    host, path, rule, verdict, hit_host, is_hit = unused(pages, "host", "path", "rule", "verdict", "hit_host", "is_hit")
     rows = pages.withColumns({host: host_of(F.col(url)), path: path_of(F.col(url))})
     hosts = pages.select(host_of(F.col(url)).alias("host")).distinct()
     universe = hosts.select(F.explode(parents(F.col("host"))).alias("key")).distinct()
@@ -151,9 +151,9 @@ def filter_urls(pages: DataFrame, rules: list[Rule], listed: DataFrame, url: str
     cascade = build_cascade(wanted, universe, max_level_bits=max_level_bits)
     columns = [F.col(f"`{c}`") for c in [*pages.columns, host, path]]
     if cascade is None:  # too large to send: distinct hosts meet the list in a shuffled join, and pages meet those hosts
-        hit = hosts.select("host", F.explode(parents(F.col("host"))).alias("key")).join(wanted, "key", "left_semi").select(F.col("host").alias("hit_host")).distinct()
-        rows = rows.join(hit, F.col(host) == F.col("hit_host"), "left").select(*columns, F.col("hit_host").isNotNull().alias("_hit"))
-        in_list = F.col("_hit")
+        hit = hosts.select("host", F.explode(parents(F.col("host"))).alias("key")).join(wanted, "key", "left_semi").select(F.col("host").alias(hit_host)).distinct()
+        rows = rows.join(hit, F.col(host) == F.col(hit_host), "left").select(*columns, F.col(hit_host).isNotNull().alias(is_hit))
+        in_list = F.col(is_hit)
     else:
         in_list = F.exists(parents(F.col(host)), cascade.lists)
     own = by_rules(rules, F.col(host), F.col(path), "verdict")
