@@ -1,9 +1,10 @@
 """Best-fit packing of token sequences by the sum-of-squares rule.
 
 A document is its token ids and an end id. Documents longer than a sequence are cut; then pieces are packed: each goes
-where the sum, over residual gaps, of the squared counts of open sequences becomes smallest. A piece that takes a bin
-of gap g to gap r changes that sum by 2 * (count[r] - count[g]) + 2, and opening a new bin by 2 * count[r] + 1, where
-full bins count nothing; so the rule needs the counts alone. Within a group pieces come longest first, ties by id.
+to the open sequence for which the sum, over residual gaps, of the squared counts of open sequences becomes smallest; a
+new one is opened only where none has room. A piece that takes a bin of gap g to gap r changes that sum by
+2 * (count[r] - count[g]) + 2, where full bins count nothing; so the rule needs the counts alone. Within a group pieces
+come longest first, ties by id.
 
 Tokenizing is one pass over the texts that leaves a row of some tens of bytes per piece, staged. Those rows are dealt
 by hash to groups of about ``group_tokens`` tokens, which are packed independently: a task holds one group's numbers,
@@ -88,7 +89,7 @@ TYPES = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64()]
 
 
 def sum_of_squares(lengths: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray]:
-    """Bin and offset of each piece, in the order given. Among equal changes the fullest bin wins, a new one last."""
+    """Bin and offset of each piece, in the order given. Among equal changes the fullest bin wins."""
     counts = np.zeros(capacity + 1, np.int64)  # open bins by gap; counts[0] stays 0: full bins count nothing
     stacks: list[list[int]] = [[] for _ in range(capacity + 1)]
     place, offset, made = np.empty(len(lengths), np.int64), np.empty(len(lengths), np.int64), 0
@@ -100,7 +101,7 @@ def sum_of_squares(lengths: np.ndarray, capacity: int) -> tuple[np.ndarray, np.n
             change[0] -= 1  # a filled bin no longer counts
             change[before == 0] = 1 << 60
             k = int(change.argmin())
-            if change[k] <= 2 * counts[capacity - n] + 1:
+            if change[k] < 1 << 60:
                 gap = n + k
         if gap == capacity:
             at, made = made, made + 1

@@ -167,8 +167,7 @@ def test_sum_of_squares_takes_the_smallest_sum(lengths):
         return sum(c * c for x, c in Counter(g.values()).items() if x)
 
     for n, at, off in zip(lengths, place.tolist(), offset.tolist(), strict=True):
-        options = {b: squares(gaps | {b: g - n}) for b, g in gaps.items() if g >= n}
-        options["new"] = squares(gaps | {"new": 20 - n})
+        options = {b: squares(gaps | {b: g - n}) for b, g in gaps.items() if g >= n} or {"new": squares(gaps | {"new": 20 - n})}
         assert off == 20 - gaps.get(at, 20)
         gaps[at] = gaps.get(at, 20) - n
         assert squares(gaps) == min(options.values())
