@@ -189,7 +189,7 @@ def identify(docs: DataFrame, config: Config = Config()) -> DataFrame:
     return predict(docs, fit(docs, config))
 
 
-def keep(docs: DataFrame, min_score: float = 0.5, config: Config = Config()) -> DataFrame:
+def keep(docs: DataFrame, min_score: float = 0.3, config: Config = Config()) -> DataFrame:
     """The rows of ``docs`` whose language is known with at least ``min_score``, with its columns."""
     pred, score = unused(docs, "lang_pred", "score")
     return identify(docs, config).where((F.col(pred) != UNKNOWN) & (F.col(score) >= min_score)).select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -62,6 +62,7 @@ def test_simple_tree_matching():
     (None, ""), ("", ""), ("plain", "plain"), ("<article>A<article>B</article></article>", "A\n\nB"), ("<p>a<p>b", "a\n\nb"), ("<ul><li>a<li>b</ul>", "a\n\nb"),
     ("<main><header>h</header><h1>T</h1><form>f</form><p>x &lt; y<!-- c --></p></main><p>out</p>", "T\n\nx < y"), ("<article><p>a</div></p>b</article>", "a\n\nb"),
     ("<div>a</div><div class='Cookie-notice'>c</div><aside>s</aside><p hidden>d", "a\n\nd"), ("<p title=\"a > b\">x</p><p title='unclosed>y", "x\n\ny"),
+    ("<div class='has-sidebar no-comments'>a<p id=top_ad_1>b</p></div>", "a"), ("<article class='comment'>c</article><article class=post>d</article>", "d"),
     ("<table><tr><td>1<td>2<tr><td>3</table>", "1 2\n\n3"), ("a &bogus; &#233;&#x41; <", "a &bogus; éA <"), ("<script>if (a<b) </scr", ""), ("<p>\x0b x\n\ty </p>" * 2, "x y\n\nx y"),
 ])
 def test_extraction_cases(html, text):
