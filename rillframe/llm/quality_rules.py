@@ -43,7 +43,7 @@ class Divergence:
     min_words: int = 10
     max_repeat_percent: int = 20
     min_chars_judged: int = 400
-    min_words_judged: int = 200
+    min_words_judged: int = 80
     max_char_distance: float = 0.3
     max_word_distance: float = 0.28
     max_languages: int = 200
