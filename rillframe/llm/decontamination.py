@@ -9,8 +9,11 @@ decides whether the item occurs within k edits.
 Items go to the executors in blocks of at most ``block_chars`` characters, one pass over the texts for each block, so
 what is broadcast is bounded however many items there are. Texts are not shuffled.
 
-Defined cases: items that are null, or have fewer than ``min_chars`` characters when normalised, match nothing: they
-can't be told from ordinary prose; null and empty texts hold nothing; equal items are reported each under its id;
+Items of fewer than ``min_chars`` characters when normalised have no budget: they match where a text holds them unchanged
+and whole, between the borders of words. Scripts without spaces have a border at each character.
+
+Defined cases: items that are null or empty match nothing, nor do such short ones of a single word: it can't be told
+from ordinary prose; null and empty texts hold nothing; equal items are reported each under its id;
 repeated rows are reported each; a text that holds an item more than once is reported once, with the least distance
 and the first place of it; empty tables give empty results; other columns are not read.
 """
@@ -26,6 +29,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 GAP = re.compile(r"[\W_]+")
+# Fixed value: characters of scripts without spaces (Thai to Khmer, kana, Han): each is taken for a word.
+UNSPACED = re.compile("[\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u31f0-\u31ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\uff66-\uff9f\U00020000-\U0003ffff]")
 
 
 @dataclass(frozen=True)
@@ -39,6 +44,16 @@ def normalised(text: str) -> str:
     return GAP.sub(" ", text.lower()).strip()
 
 
+def is_one_word(item: str) -> bool:
+    return len(UNSPACED.sub(" x ", item).split()) <= 1
+
+
+def at_borders(text: str, start: int, end: int) -> bool:
+    """Whether a passage of a normalised text begins and ends at borders of words."""
+    inside = lambda at: 0 < at < len(text) and " " not in text[at - 1 : at + 1] and not UNSPACED.search(text, at - 1, at + 1)
+    return not inside(start) and not inside(end)
+
+
 def pieces(item: str, k: int) -> list[tuple[int, str]]:
     """(start, piece) of k + 1 pieces that make up the item, their lengths one apart at most."""
     limits = [i * len(item) // (k + 1) for i in range(k + 2)]
@@ -48,8 +63,8 @@ def pieces(item: str, k: int) -> list[tuple[int, str]]:
 class Pattern:
     """Myers' automaton of an item; Python's integers hold a column of any height."""
 
-    def __init__(self, item: str, k: int) -> None:
-        self.size, self.k = len(item), k
+    def __init__(self, item: str, k: int, whole: bool = False) -> None:
+        self.size, self.k, self.whole = len(item), k, whole  # whole: matches at borders of words only
         self.equal: dict[str, int] = {}
         for i, c in enumerate(item):
             self.equal[c] = self.equal.get(c, 0) | 1 << i
@@ -82,9 +97,10 @@ class Matcher:
         where: dict[str, list[tuple[int, int]]] = {}
         for key, text in items:
             item = normalised(text)
-            if len(item) < config.min_chars:
+            short = len(item) < config.min_chars
+            if short and is_one_word(item):
                 continue
-            pattern = Pattern(item, int(config.error_rate * len(item)))
+            pattern = Pattern(item, 0 if short else int(config.error_rate * len(item)), short)
             for start, piece in pieces(item, pattern.k):
                 where.setdefault(piece, []).append((len(self.patterns), start))
             self.patterns.append((key, pattern))
@@ -106,6 +122,8 @@ class Matcher:
                 if (which, origin) in tried or best.get(which, (1,))[0] == 0:
                     continue
                 tried.add((which, origin))
+                if pattern.whole and not at_borders(text, origin, end + 1):
+                    continue
                 first = max(0, origin - pattern.k)
                 found = pattern.best(text[first : origin + pattern.size + pattern.k])
                 if found:
