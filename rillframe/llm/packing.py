@@ -21,7 +21,7 @@ import base64
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import lru_cache
+from functools import lru_cache, partial
 
 import numpy as np
 import pyarrow as pa
@@ -31,6 +31,8 @@ from pyspark.sql import functions as F
 
 from rillframe.llm.common import staged
 
+SPECIAL = "<|endoftext|>"  # the vocabulary's special token, which follows its ranks
+
 
 @dataclass(frozen=True)
 class Config:
@@ -56,7 +58,7 @@ def encoder(ranks: str, pattern: str):
 
     with open(ranks, "rb") as lines:
         table = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
-    return tiktoken.Encoding("public", pat_str=pattern, mergeable_ranks=table, special_tokens={})
+    return tiktoken.Encoding("public", pat_str=pattern, mergeable_ranks=table, special_tokens={SPECIAL: len(table)})
 
 
 def cut(length: int, capacity: int) -> list[tuple[int, int]]:
@@ -70,7 +72,7 @@ PIECES = "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigin
 
 def pieces(docs: DataFrame, config: Config, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoder(config.ranks, config.pattern).encode_ordinary
+        encode = partial(encoder(config.ranks, config.pattern).encode, allowed_special="all")
         for batch in batches:
             out: list[tuple] = []
             ids_of, texts = batch.column(0).to_pylist(), batch.column(1)
