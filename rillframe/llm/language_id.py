@@ -29,6 +29,7 @@ from rillframe.llm.textmodels import Adam, sample_by_class, softmax
 
 UNKNOWN = "und"
 LETTER = re.compile(r"[^\W\d_]")
+CLEAR = 0.7  # the least probability of a window's language that counts as clear, of however many languages
 
 
 @dataclass(frozen=True)
@@ -78,18 +79,25 @@ class ByteCnn:
 
     def scores(self, texts: list[bytes]) -> np.ndarray:
         """A row of probabilities for each text; zeros for an empty one."""
+        return self.measured(texts)[0]
+
+    def measured(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """The scores, and the share of each text's bytes in windows of one clear language."""
         size = self.config.window
         counts = np.array([-(-len(t) // size) for t in texts])
-        result = np.zeros((len(texts), len(self.languages)))
+        result, clear = np.zeros((len(texts), len(self.languages))), np.zeros(len(texts))
         for first, last in blocks(counts, 4096):  # texts whose windows fit in a block; a longer text is a block of its own
             joined = b"".join(t.ljust(int(c) * size, b"\0") for t, c in zip(texts[first:last], counts[first:last], strict=True))
             if not joined:
                 continue
             windows = np.frombuffer(joined, np.uint8).reshape(-1, size)
-            weighed = self.probabilities(windows) * (windows != 0).sum(axis=1, keepdims=True)
+            p, n_bytes = self.probabilities(windows), (windows != 0).sum(axis=1)
+            weighed = p * n_bytes[:, None]
             owner = np.repeat(np.arange(first, last), counts[first:last])
             np.add.at(result, owner, weighed)
-        return result / np.maximum(result.sum(axis=1, keepdims=True), 1e-12)
+            np.add.at(clear, owner, n_bytes * (p.max(axis=1) >= CLEAR))
+        total = np.maximum(result.sum(axis=1, keepdims=True), 1e-12)
+        return result / total, clear / total[:, 0]
 
 
 def blocks(counts: np.ndarray, most: int) -> Iterator[tuple[int, int]]:
@@ -162,9 +170,9 @@ def fit(docs: DataFrame, config: Config = Config(), doc_id: str = "doc_id", text
     return train([r["text"].encode() for r in found], [r["lang"] for r in found], config) if found else None
 
 
-def predict(docs: DataFrame, model: ByteCnn | None, text: str = "text") -> DataFrame:
-    """``docs`` with lang_pred and score. Only the text column is an input of the prediction."""
-    pred, score = unused(docs, "lang_pred", "score")
+def predict(docs: DataFrame, model: ByteCnn | None, text: str = "text", with_clear: bool = False) -> DataFrame:
+    """``docs`` with lang_pred and score, and the share of clear windows if asked for. Only the text column is an input of the prediction."""
+    pred, score, share = unused(docs, "lang_pred", "score", "clear")
     sent = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -174,22 +182,29 @@ def predict(docs: DataFrame, model: ByteCnn | None, text: str = "text") -> DataF
                 part = batch.slice(i, 256)
                 texts = part.column(text).to_pylist()
                 has = [bool(t and LETTER.search(t)) and net is not None for t in texts]
-                langs, scores = [UNKNOWN] * len(texts), [0.0] * len(texts)
+                langs, scores, clear = [UNKNOWN] * len(texts), [0.0] * len(texts), [0.0] * len(texts)
                 if any(has):
-                    p = net.scores([t.encode("utf-8", "replace") if h else b"" for t, h in zip(texts, has, strict=True)])
+                    p, shares = net.measured([t.encode("utf-8", "replace") if h else b"" for t, h in zip(texts, has, strict=True)])
                     best = p.argmax(axis=1)
                     for k in np.flatnonzero(has):
-                        langs[k], scores[k] = net.languages[best[k]], min(1.0, float(p[k, best[k]]))
-                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(langs, pa.string()), pa.array(scores, pa.float64())], schema=pa.schema([*part.schema, pa.field(pred, pa.string()), pa.field(score, pa.float64())]))
+                        langs[k], scores[k], clear[k] = net.languages[best[k]], min(1.0, float(p[k, best[k]])), min(1.0, float(shares[k]))
+                more = {share: clear} if with_clear else {}
+                made = {pred: pa.array(langs, pa.string()), score: pa.array(scores, pa.float64())} | {k: pa.array(v, pa.float64()) for k, v in more.items()}
+                yield pa.RecordBatch.from_arrays([*part.columns, *made.values()], schema=pa.schema([*part.schema, *[pa.field(k, v.type) for k, v in made.items()]]))
 
-    return docs.mapInArrow(run, T.StructType([*docs.schema, T.StructField(pred, T.StringType()), T.StructField(score, T.DoubleType())]))
+    more = [T.StructField(share, T.DoubleType())] if with_clear else []
+    return docs.mapInArrow(run, T.StructType([*docs.schema, T.StructField(pred, T.StringType()), T.StructField(score, T.DoubleType()), *more]))
 
 
 def identify(docs: DataFrame, config: Config = Config()) -> DataFrame:
     return predict(docs, fit(docs, config))
 
 
-def keep(docs: DataFrame, min_score: float = 0.3, config: Config = Config()) -> DataFrame:
-    """The rows of ``docs`` whose language is known with at least ``min_score``, with its columns."""
-    pred, score = unused(docs, "lang_pred", "score")
-    return identify(docs, config).where((F.col(pred) != UNKNOWN) & (F.col(score) >= min_score)).select(*[F.col(f"`{c}`") for c in docs.columns])
+def keep(docs: DataFrame, min_clear: float = 0.5, config: Config = Config()) -> DataFrame:
+    """The rows of ``docs`` of which at least ``min_clear`` of the text is in windows of a clear language, with its columns.
+
+    A text of several languages stays if its windows are clear, each in its own.
+    """
+    pred, share = unused(docs, "lang_pred", "clear")
+    found = predict(docs, fit(docs, config), with_clear=True)
+    return found.where((F.col(pred) != UNKNOWN) & (F.col(share) >= min_clear)).select(*[F.col(f"`{c}`") for c in docs.columns])
