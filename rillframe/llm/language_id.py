@@ -4,12 +4,22 @@ A text's UTF-8 bytes are cut into windows of ``window`` bytes, the last one padd
 filters of several widths run over the vectors; the largest value of each filter in a window goes through a ReLU and a
 softmax layer. A text's scores are its windows' probabilities, weighted by their bytes. Every byte of a text is read.
 
-The model is fitted on the driver on a bounded sample (``per_language`` texts for each of at most ``max_languages``
-languages, ``windows_per_text`` windows of ``train_chars`` characters of each) and sent to the executors: some tens of kB. Application is one
-pass without a shuffle; long texts are processed in blocks of windows, so memory doesn't grow with a text.
-
-Defined cases: a null, empty or letterless text is ``und`` with score 0; if there is no labelled row, every text is
-``und``; equal texts get equal predictions; rows, order and other columns of the input are kept.
+Beside the languages the network learns a background: training windows with their characters shuffled, and strings of
+random characters. It takes probability away from windows that read like no language, but is never predicted. A window is
+clear if one language is more probable there than all others and the background together, whatever their number; ``keep``
+rejects texts of which less than ``min_clear`` lies in clear windows. Texts of several languages have clear windows.
+
+The model is fitted on the driver on a bounded sample of labelled windows (``per_language`` of each language, fewer if
+``total`` would be exceeded), drawn from all windows of all labelled texts by a hash, so each window of a language has the
+same chance wherever in a text it is. Windows are counted and cut on the executors; what reaches the driver is the sample,
+and what is sent back some tens of kB. Application is one pass without a shuffle; long texts are processed in blocks of
+windows, so memory doesn't grow with a text.
+
+Defined cases: a null, empty or letterless text (no character of a Unicode letter category) is ``und`` with score 0; if
+there is no labelled row, every text is ``und``; of equally probable languages the first in order is predicted; equal
+texts get equal predictions; rows, order and other columns of the input are kept, and made columns that clash get leading
+underscores. ``keep`` rejects null, empty and letterless texts; without a labelled row nothing more can be told, so
+it rejects nothing else.
 """
 
 from __future__ import annotations
@@ -24,11 +34,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from rillframe.llm.common import crc_fold, unused
-from rillframe.llm.textmodels import Adam, sample_by_class, softmax
+from rillframe.llm.common import crc_fold, staged, unused
+from rillframe.llm.textmodels import Adam, softmax
 
 UNKNOWN = "und"
-LETTER = re.compile(r"[^\W\d_]")
+WORDLIKE = re.compile(r"[^\W\d_]")  # letters, and numerals such as halves
+
+
+def has_letter(text: str | None) -> bool:
+    return any(m[0].isalpha() for m in WORDLIKE.finditer(text or ""))
 
 
 @dataclass(frozen=True)
@@ -37,11 +51,10 @@ class Config:
     dim: int = 6
     widths: tuple[int, ...] = (2, 3, 4)
     filters: int = 10
-    per_language: int = 1200
-    windows_per_text: int = 3
-    train_chars: int = 20_000
-    max_languages: int = 100
+    per_language: int = 3600
+    total: int = 200_000
     epochs: int = 8
+    least_steps: int = 1200
     batch: int = 64
     rate: float = 0.01
     seed: int = 7
@@ -49,7 +62,10 @@ class Config:
 
 @dataclass
 class ByteCnn:
-    """``table``: 256 byte vectors, that of the pad byte 0 is zero. ``conv``: widest width x dim rows, a column a filter."""
+    """``table``: 256 byte vectors, that of the pad byte 0 is zero. ``conv``: widest width x dim rows, a column a filter.
+
+    ``out`` has a column for each language and one for the background.
+    """
 
     config: Config
     languages: list[str]
@@ -70,26 +86,31 @@ class ByteCnn:
         return (patches @ self.conv).reshape(n, length, -1), patches
 
     def probabilities(self, windows: np.ndarray, block: int = 48) -> np.ndarray:
-        out = np.empty((len(windows), len(self.languages)), np.float32)
+        out = np.empty((len(windows), len(self.languages) + 1), np.float32)
         for i in range(0, len(windows), block):
             pooled = np.maximum(self.activations(windows[i : i + block])[0].max(axis=1) + self.bias, 0)
             out[i : i + block] = softmax(pooled @ self.out + self.out_bias)
         return out
 
-    def scores(self, texts: list[bytes]) -> np.ndarray:
-        """A row of probabilities for each text; zeros for an empty one."""
+    def read(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """A row of probabilities of the languages for each text (zeros for an empty one), and its share in clear windows."""
         size = self.config.window
         counts = np.array([-(-len(t) // size) for t in texts])
-        result = np.zeros((len(texts), len(self.languages)))
+        result, clear = np.zeros((len(texts), len(self.languages) + 1)), np.zeros(len(texts))
         for first, last in blocks(counts, 4096):  # texts whose windows fit in a block; a longer text is a block of its own
             joined = b"".join(t.ljust(int(c) * size, b"\0") for t, c in zip(texts[first:last], counts[first:last], strict=True))
             if not joined:
                 continue
             windows = np.frombuffer(joined, np.uint8).reshape(-1, size)
-            weighed = self.probabilities(windows) * (windows != 0).sum(axis=1, keepdims=True)
+            p, weight = self.probabilities(windows), (windows != 0).sum(axis=1)
             owner = np.repeat(np.arange(first, last), counts[first:last])
-            np.add.at(result, owner, weighed)
-        return result / np.maximum(result.sum(axis=1, keepdims=True), 1e-12)
+            np.add.at(result, owner, p * weight[:, None])
+            np.add.at(clear, owner, (p[:, :-1].max(axis=1) >= 0.5) * weight)
+        total = np.maximum(result.sum(axis=1), 1e-12)
+        return result[:, :-1] / total[:, None], clear / total
+
+    def scores(self, texts: list[bytes]) -> np.ndarray:
+        return self.read(texts)[0]
 
 
 def blocks(counts: np.ndarray, most: int) -> Iterator[tuple[int, int]]:
@@ -103,7 +124,25 @@ def blocks(counts: np.ndarray, most: int) -> Iterator[tuple[int, int]]:
         yield first, len(counts)
 
 
+def background(windows: np.ndarray, n: int, rng: np.random.Generator) -> np.ndarray:
+    """``n`` windows that read like no language: half with a training window's characters shuffled, half random."""
+    out = np.zeros((n, windows.shape[1]), np.uint8)
+    for k in range(n):
+        size = windows.shape[1]
+        if k % 2:
+            low, high = [(33, 127), (48, 58), (48, 123), (97, 123)][k // 2 % 4]
+            out[k] = rng.integers(low, high, size)
+            out[k, rng.random(size) < 0.15 * (k // 8 % 2)] = 32
+        else:
+            chars = list(bytes(windows[rng.integers(len(windows))]).rstrip(b"\0").decode("utf-8", "ignore"))
+            rng.shuffle(chars)
+            mixed = "".join(chars).encode()[:size]
+            out[k, : len(mixed)] = np.frombuffer(mixed, np.uint8)
+    return out
+
+
 def train(texts: list[bytes], labels: list[str], config: Config = Config()) -> ByteCnn:
+    """From all windows of labelled texts."""
     rng = np.random.default_rng(config.seed)
     languages = sorted(set(labels))
     wide, dim, size = max(config.widths), config.dim, config.window
@@ -113,20 +152,21 @@ def train(texts: list[bytes], labels: list[str], config: Config = Config()) -> B
         mask[: width * dim, k * config.filters : (k + 1) * config.filters] = 1
     params = {
         "table": rng.normal(0, 1, (256, dim)).astype(np.float32), "conv": (rng.normal(0, 1, mask.shape) / np.sqrt(wide * dim)).astype(np.float32) * mask,
-        "bias": np.zeros(f, np.float32), "out": (rng.normal(0, 1, (f, len(languages))) / np.sqrt(f)).astype(np.float32), "out_bias": np.zeros(len(languages), np.float32),
+        "bias": np.zeros(f, np.float32), "out": (rng.normal(0, 1, (f, len(languages) + 1)) / np.sqrt(f)).astype(np.float32), "out_bias": np.zeros(len(languages) + 1, np.float32),
     }
     params["table"][0] = 0
     model = ByteCnn(config, languages, **params)
-    xs, ys = [], []
-    for text, label in zip(texts, labels, strict=True):
-        starts = range(0, max(1, len(text)), size)
-        for start in rng.choice(starts, min(len(starts), config.windows_per_text), replace=False):
-            xs.append(np.frombuffer(text[start : start + size].ljust(size, b"\0"), np.uint8))
-            ys.append(languages.index(label))
-    if not xs:
+    counts = [-(-len(t) // size) for t in texts]
+    joined = b"".join(t.ljust(c * size, b"\0") for t, c in zip(texts, counts, strict=True))
+    if not joined:
         return model
-    x, y, adam = np.array(xs), np.array(ys), Adam(params, config.rate)
-    for epoch in range(config.epochs):
+    x = np.frombuffer(joined, np.uint8).reshape(-1, size)
+    y = np.repeat([languages.index(v) for v in labels], counts)
+    extra = max(1, len(x) // (len(languages) + 1))
+    x, y = np.concatenate([x, background(x, extra, rng)]), np.concatenate([y, np.full(extra, len(languages))])
+    adam = Adam(params, config.rate)
+    epochs = max(config.epochs, -(-config.least_steps * config.batch // len(x)))
+    for epoch in range(epochs):
         order = rng.permutation(len(x))
         for i in range(0, len(x), config.batch):
             rows = order[i : i + config.batch]
@@ -148,23 +188,30 @@ def train(texts: list[bytes], labels: list[str], config: Config = Config()) -> B
             d_table = np.zeros_like(params["table"])
             np.add.at(d_table, ids.reshape(-1), d_patch.reshape(-1, dim))
             d_table[0] = 0
-            adam.step({"out": hidden.T @ p, "out_bias": p.sum(0), "bias": d_pool.sum(0), "conv": d_conv, "table": d_table}, config.rate * (1 - epoch / config.epochs) + 1e-4)
+            adam.step({"out": hidden.T @ p, "out_bias": p.sum(0), "bias": d_pool.sum(0), "conv": d_conv, "table": d_table}, config.rate * (1 - epoch / epochs) + 1e-4)
     return model
 
 
 def fit(docs: DataFrame, config: Config = Config(), doc_id: str = "doc_id", text: str = "text", lang: str = "lang") -> ByteCnn | None:
     """Learned from text and non-null lang of the documents of folds 0, 1 and 3. None if there are none."""
-    chars = config.train_chars
-    start = F.pmod(F.xxhash64(F.col(doc_id).cast("string"), F.lit("start")), F.greatest(F.length(text) - chars, F.lit(0)) + 1) + 1
-    cut = F.substring(F.col(text), start.cast("int"), F.lit(chars))  # a bounded piece of a long text, from a place anywhere in it
-    rows = docs.where((crc_fold(doc_id) != 2) & F.col(lang).isNotNull() & F.col(text).rlike(r"\p{L}")).select(F.col(doc_id).alias("key"), F.col(lang).alias("lang"), cut.alias("text"))
-    found = sample_by_class(rows, "lang", "key", config.per_language, config.max_languages)
-    return train([r["text"].encode() for r in found], [r["lang"] for r in found], config) if found else None
-
-
-def predict(docs: DataFrame, model: ByteCnn | None, text: str = "text") -> DataFrame:
-    """``docs`` with lang_pred and score. Only the text column is an input of the prediction."""
-    pred, score = unused(docs, "lang_pred", "score")
+    chosen = docs.where((crc_fold(doc_id) != 2) & F.col(lang).isNotNull() & F.col(text).rlike(r"\p{L}"))
+    n = F.ceil(F.octet_length(text) / config.window)
+    rows = chosen.select(F.col(lang).cast("string").alias("lang"), F.encode(F.col(text), "utf-8").alias("data"), n.alias("n"), F.xxhash64(F.col(doc_id).cast("string"), F.col(text)).alias("key"))
+    counts = staged(rows.groupBy("lang").agg(F.sum("n").alias("all")), "languages")
+    languages = counts.count()
+    if not languages:
+        return None
+    quota = min(config.per_language, max(1, config.total // languages))
+    chance = F.pmod(F.xxhash64("key", F.col("at")), F.lit(1 << 30)) * F.col("all") < F.lit(quota * (1 << 30))
+    windows = rows.join(counts, "lang").select("lang", "data", "key", "all", F.explode(F.sequence(F.lit(0), F.col("n").cast("int") - 1)).alias("at")).where(chance)
+    window = F.substring("data", F.col("at") * config.window + 1, F.lit(config.window))
+    found = sorted((r["lang"], bytes(r["window"])) for r in windows.select("lang", window.alias("window")).toLocalIterator())
+    return train([w for _, w in found], [v for v, _ in found], config) if found else None
+
+
+def predict(docs: DataFrame, model: ByteCnn | None, text: str = "text", clear: bool = False) -> DataFrame:
+    """``docs`` with lang_pred and score, and clear if asked for. Only the text column is an input of the prediction."""
+    names = unused(docs, "lang_pred", "score", *["clear"] * clear)
     sent = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -173,23 +220,25 @@ def predict(docs: DataFrame, model: ByteCnn | None, text: str = "text") -> DataF
             for i in range(0, batch.num_rows, 256):
                 part = batch.slice(i, 256)
                 texts = part.column(text).to_pylist()
-                has = [bool(t and LETTER.search(t)) and net is not None for t in texts]
-                langs, scores = [UNKNOWN] * len(texts), [0.0] * len(texts)
-                if any(has):
-                    p = net.scores([t.encode("utf-8", "replace") if h else b"" for t, h in zip(texts, has, strict=True)])
+                letters = [has_letter(t) for t in texts]
+                langs, scores, shares = [UNKNOWN] * len(texts), [0.0] * len(texts), [float(has) for has in letters]
+                if net is not None and any(letters):
+                    p, share = net.read([t.encode("utf-8", "replace") if h else b"" for t, h in zip(texts, letters, strict=True)])
                     best = p.argmax(axis=1)
-                    for k in np.flatnonzero(has):
-                        langs[k], scores[k] = net.languages[best[k]], min(1.0, float(p[k, best[k]]))
-                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(langs, pa.string()), pa.array(scores, pa.float64())], schema=pa.schema([*part.schema, pa.field(pred, pa.string()), pa.field(score, pa.float64())]))
+                    for k in np.flatnonzero(letters):
+                        langs[k], scores[k], shares[k] = net.languages[best[k]], min(1.0, float(p[k, best[k]])), float(share[k])
+                made = [pa.array(langs, pa.string()), pa.array(scores, pa.float64()), pa.array(shares, pa.float64())][: len(names)]
+                yield pa.RecordBatch.from_arrays([*part.columns, *made], schema=pa.schema([*part.schema, *[pa.field(n, m.type) for n, m in zip(names, made, strict=True)]]))
 
-    return docs.mapInArrow(run, T.StructType([*docs.schema, T.StructField(pred, T.StringType()), T.StructField(score, T.DoubleType())]))
+    types = [T.StringType(), T.DoubleType(), T.DoubleType()]
+    return docs.mapInArrow(run, T.StructType([*docs.schema, *[T.StructField(n, t) for n, t in zip(names, types, strict=False)]]))
 
 
 def identify(docs: DataFrame, config: Config = Config()) -> DataFrame:
     return predict(docs, fit(docs, config))
 
 
-def keep(docs: DataFrame, min_score: float = 0.3, config: Config = Config()) -> DataFrame:
-    """The rows of ``docs`` whose language is known with at least ``min_score``, with its columns."""
-    pred, score = unused(docs, "lang_pred", "score")
-    return identify(docs, config).where((F.col(pred) != UNKNOWN) & (F.col(score) >= min_score)).select(*[F.col(f"`{c}`") for c in docs.columns])
+def keep(docs: DataFrame, min_clear: float = 0.5, config: Config = Config()) -> DataFrame:
+    """The rows of ``docs`` of whose text at least ``min_clear`` has a clear language, with its columns."""
+    share = unused(docs, "lang_pred", "score", "clear")[-1]
+    return predict(docs, fit(docs, config), clear=True).where((F.col(share) >= min_clear) & (F.col(share) > 0)).select(*[F.col(f"`{c}`") for c in docs.columns])
