@@ -5,22 +5,26 @@ smallest and the largest hash of the set are kept, so half as many hashes are ev
 of four values (two maps) are the keys of candidates. Links are confirmed on the full sets, as 64-bit hashes.
 
 1. One pass over the texts stages, per document, its set's size and fingerprint and its band keys; no text moves.
-2. Documents with equal sets form a class; its smallest id represents it. Copies end here, whatever their number.
+2. Documents with equal sets form a class, which has a number of its own and the text of its smallest id. Copies end here,
+   whatever their number. Classes that share an id are linked.
 3. In each bucket of a band the member leads whose buckets hold most members: of copies that were each edited
    differently that is the one they come from. Each member is confirmed against the leader that it shares most buckets
    with, so a group of thousands of near copies costs one comparison a member; then, if they are in different
    components, against its other leaders, as many as there are bands at most.
-4. Within each bucket, pairs of members of different components are then confirmed too, unless the shingles that only
-   one of them has, or their sizes, rule the similarity out; and components are found again. So each candidate pair is
-   confirmed, ruled out by an exact bound, or linked already.
+4. Classes that share a bucket with one of another component are then held against each other by an exact prefix filter:
+   of two sets that are similar enough, the rarest quarters (by the number of these classes that hold a shingle) have a
+   shingle in common. Pairs that meet there are confirmed unless the shingles that only one of them has, their sizes or
+   their parities rule the similarity out; and components are found again. So each candidate pair is confirmed, ruled
+   out by an exact bound, or linked already, and pairs of one bucket never meet just for being in it.
 
 Minima and counts are combined before shuffles; joins on buckets and sets can be split where they are skewed. Only
 texts that some candidate pair names are moved, once. Nothing is gathered on the driver.
 
 Defined cases: a text of one to four words has its whole sequence as its only shingle; null, empty and wordless texts
 have no shingles, are linked with nothing and are kept. A null id is never linked: its component_id is null and it is
-kept. Rows that repeat an id share its component; each is kept or dropped with the id. Equal texts form one
-component. Empty tables give empty results. Other columns are not read.
+kept. Rows that repeat an id share its component, also where their texts differ (each has its own size of set); each is
+kept or dropped with the id. Equal texts form one component. Ids may be of any type that has an order. Empty tables give
+empty results. Other columns are not read.
 """
 
 from __future__ import annotations
@@ -30,7 +34,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rillframe.llm.common import staged, unused
@@ -65,11 +69,13 @@ def band_keys(signature: np.ndarray, rows: int) -> np.ndarray:
     return key.view(np.int64)
 
 
-SKETCH = "doc_id bigint, n_shingles bigint, fp1 bigint, fp2 bigint, bands array<bigint>"
+def text_key() -> Column:
+    """Tells the texts of one id apart."""
+    return F.xxhash64("text").alias("text_key")
 
 
-def sketches(docs: DataFrame, config: Config, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """Size, fingerprint (sums of hashes: equal for equal sets) and band keys of each document's set."""
+def sketches(docs: DataFrame, config: Config) -> DataFrame:
+    """doc_id, text_key, and of each document's set: size, fingerprint (sums of hashes: equal for equal sets) and band keys."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rng = np.random.default_rng(config.seed)
@@ -86,14 +92,15 @@ def sketches(docs: DataFrame, config: Config, doc_id: str = "doc_id", text: str
                     else:
                         rows.append((0, None, None, np.zeros(0, np.int64)))
                 n, fp1, fp2, bands = zip(*rows, strict=True)
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(n, pa.int64()), pa.array(fp1, pa.int64()), pa.array(fp2, pa.int64()), pa.array(list(bands), pa.list_(pa.int64()))], names=["doc_id", "n_shingles", "fp1", "fp2", "bands"])
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(2), pa.array(n, pa.int64()), pa.array(fp1, pa.int64()), pa.array(fp2, pa.int64()), pa.array(list(bands), pa.list_(pa.int64()))], names=["doc_id", "text_key", "n_shingles", "fp1", "fp2", "bands"])
 
-    return docs.select(F.col(doc_id).cast("bigint"), F.col(text).cast("string")).mapInArrow(run, SKETCH)
+    own = docs.schema["doc_id"].dataType.simpleString()
+    return docs.select("doc_id", "text", text_key()).mapInArrow(run, f"doc_id {own}, text_key bigint, n_shingles bigint, fp1 bigint, fp2 bigint, bands array<bigint>")
 
 
 def confirm(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
     """Those of ``pairs`` (a, b) whose full sets are similar enough."""
-    left, right = (texts.select(F.col("doc_id").alias(k), F.col("text").alias(f"text_{k}")) for k in "ab")
+    left, right = (texts.select(F.col("rep").alias(k), F.col("text").alias(f"text_{k}")) for k in "ab")
     rows = pairs.join(right, "b").join(left, "a").select("a", "b", "text_a", "text_b")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -120,29 +127,39 @@ def _apart(pairs: DataFrame, found: DataFrame) -> DataFrame:
     return rows.where(F.coalesce("root_a", "a") != F.coalesce("root_b", "b"))
 
 
-def _linked(pairs: DataFrame, texts: DataFrame, found: DataFrame | None, config: Config) -> tuple[DataFrame, DataFrame]:
+def _linked(pairs: DataFrame, texts: DataFrame, found: DataFrame, config: Config) -> tuple[DataFrame, DataFrame]:
     """The components after those of ``pairs`` that are confirmed are added to ``found``, and the pairs."""
     links = staged(confirm(pairs, texts, config.percent), "links")
-    if found is not None:
-        if links.isEmpty():
-            return found, pairs
-        links = links.unionByName(found.select(F.col("root").alias("a"), F.col("node").alias("b")))
-    return components(links, "a", "b"), pairs
+    if links.isEmpty():
+        return found, pairs
+    return components(links.unionByName(found.select(F.col("root").alias("a"), F.col("node").alias("b"))), "a", "b"), pairs
 
 
-def _unique_shingles(reps: DataFrame, texts: DataFrame) -> DataFrame:
-    """(rep, own): how many shingles of each representative no other of them has."""
+def _rare_shingles(reps: DataFrame, texts: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
+    """Of reps (rep, n, root): (rep, own: how many shingles no other of them has) and (h, rep) of the prefix filter.
+
+    In the order of rarity, two sets of similarity ``percent`` share one of the first n - ceil(percent * n) + 1 shingles
+    of each. Own shingles come first and are shared with none, so only the others are gathered by set. A shingle all of
+    whose sets are in one component pairs nothing.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 part = batch.slice(at, 256)
                 sets = list(shingle_sets([prepared(t) for t in part.column(1).to_pylist()]))
-                owner = np.repeat(part.column(0).to_numpy(), [len(s) for s in sets])
-                yield pa.RecordBatch.from_arrays([pa.array(owner, pa.int64()), pa.array(np.concatenate(sets).view(np.int64))], names=["rep", "h"])
+                size = [len(s) for s in sets]
+                columns = [np.repeat(part.column(k).to_numpy(), size) for k in (0, 2, 3)]
+                yield pa.RecordBatch.from_arrays([*map(pa.array, columns), pa.array(np.concatenate(sets).view(np.int64))], names=["rep", "n", "root", "h"])
 
-    rows = texts.join(reps.select(F.col("rep").alias("doc_id")), "doc_id").select("doc_id", "text").mapInArrow(run, "rep bigint, h bigint")
-    return rows.groupBy("h").agg(F.count("*").alias("n"), F.min("rep").alias("rep")).where(F.col("n") == 1).groupBy("rep").agg(F.count("*").alias("own"))
+    rows = texts.join(reps, "rep").select("rep", "text", "n", "root").mapInArrow(run, "rep bigint, n bigint, root bigint, h bigint")
+    rows = staged(rows, "shingles")
+    often = rows.groupBy("h").agg(F.count("*").alias("sets"), F.min("root").alias("low"), F.max("root").alias("high")).where(F.col("sets") > 1)
+    shared = rows.join(often.select("h", "sets", (F.col("low") < F.col("high")).alias("mixed")), "h").groupBy("rep", "n").agg(F.sort_array(F.collect_list(F.struct("sets", "h", "mixed"))).alias("shared"))
+    shared = staged(shared.withColumn("own", F.col("n") - F.size("shared")), "shared")
+    prefix = F.greatest(F.lit(0), F.col("n") - F.ceil(percent * F.col("n") / 100) + 1 - F.col("own")).cast("int")
+    found = shared.select("rep", F.explode(F.filter(F.slice("shared", F.lit(1), prefix), lambda e: e["mixed"])).alias("e")).select(F.col("e.h").alias("h"), "rep")
+    return shared.select("rep", "own"), found
 
 
 BITS = 1024
@@ -156,43 +173,48 @@ def _parities(reps: DataFrame, texts: DataFrame) -> DataFrame:
             words = [np.packbits(np.bincount((s % np.uint64(BITS)).astype(np.int64), minlength=BITS).astype(np.uint8) & 1).view(np.int64) for s in shingle_sets([prepared(t) for t in batch.column(1).to_pylist()])]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(words, pa.list_(pa.int64()))], names=["rep", "parity"])
 
-    return texts.join(reps.select(F.col("rep").alias("doc_id")), "doc_id").select("doc_id", "text").mapInArrow(run, "rep bigint, parity array<bigint>")
+    return texts.join(reps.select("rep"), "rep").select("rep", "text").mapInArrow(run, "rep bigint, parity array<bigint>")
 
 
-def _possible(rest: DataFrame, unique: DataFrame, parities: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a, b) within buckets, of different components, that can be similar enough.
+def _possible(reps: DataFrame, own: DataFrame, prefixes: DataFrame, parities: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) of reps (rep, n, root) of different components that meet in a prefix and can be similar enough.
 
     A set of n shingles, ``own`` of them nowhere else, shares n - own with any other at most; so a partner of m shingles
     needs m <= ((100 + percent) * (n - own) - percent * n) / percent, and percent * n <= 100 * m. Many copies of
     one text, each edited too much to be alike, fall out here before they are paired: each has so many shingles of its
-    own that only much smaller sets could be its partners. Sets are paired by bucket and class of size, the larger
-    with the smaller, where a class holds more than one component. Places at which the parities of two sets differ are
-    no more than elements that only one of them has, so too many of them rule a pair out as well.
+    own that only much smaller sets could be its partners. The larger set is paired with the smaller. Places at which
+    the parities of two sets differ are no more than elements that only one of them has, so too many of them rule a
+    pair out as well. A set without a row in ``own`` shares no shingle with any other.
     """
-    rows = rest.join(unique, "rep", "left").join(parities, "rep").withColumn("own", F.coalesce("own", F.lit(0)))
-    rows = rows.withColumn("most", F.floor(((100 + percent) * (F.col("n") - F.col("own")) - percent * F.col("n")) / percent))
-    size_class = lambda n: F.floor(F.log(n.cast("double")) / F.log(F.lit(1.05))).cast("int")
-    least, most = F.ceil(percent * F.col("n") / 100), F.least("n", "most")
-    larger = rows.where(most >= least).withColumn("class", F.explode(F.sequence(size_class(least), size_class(most)))).withColumn("smaller", F.lit(False))
-    smaller = rows.where(F.col("most") >= F.col("n")).withColumn("class", size_class(F.col("n"))).withColumn("smaller", F.lit(True))
-    both = staged(larger.unionByName(smaller).select("bucket", "class", "smaller", "rep", "n", "most", "root", "parity"), "possible")
-    sides = both.groupBy("bucket", "class").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.bool_or("smaller").alias("s"), F.bool_and("smaller").alias("t"))
-    both = both.join(sides.where((F.col("low") < F.col("high")) & F.col("s") & ~F.col("t")).select("bucket", "class"), ["bucket", "class"])
-    x, y = (both.where(F.col("smaller") == (k == "y")).select("bucket", "class", *[F.col(c).alias(f"{c}_{k}") for c in ("rep", "n", "most", "root", "parity")]) for k in "xy")
+    rows = reps.join(own, "rep").withColumn("most", F.floor(((100 + percent) * (F.col("n") - F.col("own")) - percent * F.col("n")) / percent))
+    larger, smaller = F.col("most") >= F.ceil(percent * F.col("n") / 100), F.col("most") >= F.col("n")
+    rows = staged(prefixes.join(rows.where(larger | smaller).drop("own"), "rep"), "possible")
+    x, y = (rows.where(side).select("h", *[F.col(c).alias(f"{c}_{k}") for c in ("rep", "n", "most", "root")]) for k, side in (("x", larger), ("y", smaller)))
     fits = (F.col("root_x") != F.col("root_y")) & (F.col("n_y") <= F.col("n_x")) & (F.col("n_y") <= F.col("most_x")) & (F.col("n_x") <= F.col("most_y")) & (100 * F.col("n_y") >= percent * F.col("n_x"))
+    pairs = staged(x.join(y, "h").where(fits).select("rep_x", "n_x", "rep_y", "n_y").distinct(), "met")
+    for k in "xy":
+        pairs = pairs.join(parities.select(F.col("rep").alias(f"rep_{k}"), F.col("parity").alias(f"parity_{k}")), f"rep_{k}")
     total = F.col("n_x") + F.col("n_y")
     differ = F.aggregate(F.zip_with("parity_x", "parity_y", lambda i, j: F.bit_count(i.bitwiseXOR(j))), F.lit(0), lambda i, j: i + j)
-    fits = fits & (differ <= total - 2 * F.ceil(percent * total / (100 + percent)))
-    return x.join(y, ["bucket", "class"]).where(fits).select(F.least("rep_x", "rep_y").alias("a"), F.greatest("rep_x", "rep_y").alias("b")).distinct()
+    pairs = pairs.where(differ <= total - 2 * F.ceil(percent * total / (100 + percent)))
+    return pairs.select(F.least("rep_x", "rep_y").alias("a"), F.greatest("rep_x", "rep_y").alias("b")).distinct()
 
 
 def near_duplicates(docs: DataFrame, config: Config = Config(), doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """doc_id, n_shingles, component_id (smallest id reachable) and kept (the component's smallest id), per document."""
-    docs = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).cast("string").alias("text"))
+    docs = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).cast("string").alias("text"))
     seen = staged(sketches(docs, config), "sketches")
-    classes = staged(seen.where((F.col("n_shingles") > 0) & F.col("doc_id").isNotNull()).groupBy("fp1", "fp2", "n_shingles").agg(F.min("doc_id").alias("rep")), "classes")
-    bands = classes.select(F.col("rep").alias("doc_id"), "fp1", "fp2").join(seen.select("doc_id", "n_shingles", "fp1", "fp2", "bands"), ["doc_id", "fp1", "fp2"]).dropDuplicates(["doc_id", "fp1", "fp2"])
-    bands = bands.select(F.col("doc_id").alias("rep"), F.col("n_shingles").alias("n"), F.explode("bands").alias("bucket"))
+    fp = ["fp1", "fp2", "n_shingles"]
+    classes = seen.where((F.col("n_shingles") > 0) & F.col("doc_id").isNotNull()).groupBy(*fp).agg(F.min("doc_id").alias("first"), F.min_by("text_key", "doc_id").alias("text_key"))
+    classes = staged(classes.withColumn("rep", F.monotonically_increasing_id()), "classes")  # written once, so a class's number stays
+    known = classes.select(*fp, "rep", "first")
+    tagged = seen.select("doc_id", *fp).alias("s").join(known.alias("c"), (F.col("s.fp1") == F.col("c.fp1")) & (F.col("s.fp2") == F.col("c.fp2")) & (F.col("s.n_shingles") == F.col("c.n_shingles")), "left")
+    tagged = staged(tagged.select("doc_id", "s.n_shingles", F.when(F.col("doc_id").isNotNull(), F.col("rep")).alias("rep"), "first"), "tagged")
+    twins = tagged.where(F.col("rep").isNotNull()).groupBy("doc_id").agg(F.min("rep").alias("a"), F.max("rep").alias("z")).where(F.col("a") < F.col("z")).select("doc_id", "a")
+    twins = staged(tagged.join(twins, "doc_id").select("a", F.col("rep").alias("b")).where(F.col("a") != F.col("b")).distinct(), "twins")
+
+    bands = classes.select(F.col("first").alias("doc_id"), "fp1", "fp2", "rep").join(seen.select("doc_id", *fp, "bands"), ["doc_id", "fp1", "fp2"]).dropDuplicates(["rep"])
+    bands = bands.select("rep", F.col("n_shingles").alias("n"), F.explode("bands").alias("bucket"))
     shared = bands.groupBy("bucket").agg(F.count("*").alias("size")).where(F.col("size") > 1)
     members = staged(bands.join(shared, "bucket"), "members")
     drawn = members.groupBy("rep").agg(F.sum("size").alias("drawn"))
@@ -200,29 +222,31 @@ def near_duplicates(docs: DataFrame, config: Config = Config(), doc_id: str = "d
     members = staged(members.join(leaders, "bucket").select("bucket", "leader", "rep", "n"), "members")
     alike = lambda x, y: (100 * F.least(x, y) >= config.percent * F.greatest(x, y))  # noqa: E731  the least that sizes must allow
     sizes = classes.select("rep", F.col("n_shingles").alias("n"))
-    needed = members.select(F.col("rep").alias("doc_id")).distinct()
-    texts = staged(docs.join(needed, "doc_id", "left_semi").dropDuplicates(["doc_id"]), "texts")
+    needed = members.select("rep").distinct().join(classes.select("rep", F.col("first").alias("doc_id"), "text_key"), "rep")
+    texts = staged(docs.withColumn("text_key", text_key()).join(needed, ["doc_id", "text_key"]).select("rep", "text").dropDuplicates(["rep"]), "texts")
 
     votes = members.where(F.col("rep") != F.col("leader")).groupBy("rep", "leader", "n").agg(F.count("*").alias("votes"))
     votes = votes.join(sizes.select(F.col("rep").alias("leader"), F.col("n").alias("leader_n")), "leader").where(alike(F.col("n"), F.col("leader_n")))
     votes = staged(votes.select(F.col("leader").alias("a"), F.col("rep").alias("b"), "votes"), "votes")
     first = votes.groupBy("b").agg(F.max(F.struct("votes", (-F.col("a")).alias("a"))).alias("best")).select((-F.col("best.a")).alias("a"), "b")
-    found, tried = _linked(staged(first, "pairs"), texts, None, config)
+    found, tried = _linked(staged(first, "pairs"), texts, components(twins, "a", "b"), config)
     second = _apart(votes.select("a", "b").join(tried, ["a", "b"], "left_anti"), found).select("a", "b")
     found, more = _linked(staged(second, "pairs"), texts, found, config)
     tried = tried.unionByName(more)
 
     labelled = staged(members.join(found, F.col("rep") == F.col("node"), "left").select("bucket", "rep", "n", F.coalesce("root", "rep").alias("root")), "labelled")
     mixed = labelled.groupBy("bucket").agg(F.min("root").alias("low"), F.max("root").alias("high")).where(F.col("low") < F.col("high")).select("bucket")
-    rest = staged(labelled.join(mixed, "bucket"), "rest")
-    reps = staged(rest.select("rep").distinct(), "reps")
-    third = _possible(rest, _unique_shingles(reps, texts), staged(_parities(reps, texts), "parities"), config.percent)
+    reps = staged(labelled.join(mixed, "bucket").select("rep", "n", "root").distinct(), "reps")
+    own, prefixes = _rare_shingles(reps, texts, config.percent)
+    third = _possible(reps, own, prefixes, staged(_parities(reps, texts), "parities"), config.percent)
     known = tried.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
     joined, _ = _linked(staged(third.join(known, ["a", "b"], "left_anti"), "pairs"), texts, found, config)
 
-    named = classes.join(joined, F.col("rep") == F.col("node"), "left").select("fp1", "fp2", F.col("n_shingles").alias("n"), F.coalesce("root", "rep").alias("root"))
-    rows = seen.select("doc_id", "n_shingles", "fp1", "fp2").alias("s").join(named.alias("c"), (F.col("s.fp1") == F.col("c.fp1")) & (F.col("s.fp2") == F.col("c.fp2")) & (F.col("s.n_shingles") == F.col("c.n")), "left")
-    component = F.when(F.col("doc_id").isNotNull(), F.coalesce("root", "doc_id"))
+    nodes = joined.join(classes.select(F.col("rep").alias("node"), "first"), "node")
+    smallest = nodes.groupBy("root").agg(F.min("first").alias("least"))
+    nodes = joined.join(smallest, "root").select(F.col("node").alias("rep"), "least")
+    component = F.when(F.col("doc_id").isNotNull(), F.coalesce("least", F.when(F.col("rep").isNotNull(), F.col("first")), "doc_id"))
+    rows = tagged.join(nodes, "rep", "left")
     return rows.select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"))
 
 
