@@ -6,9 +6,11 @@ response: entity tags (by weak comparison) if both have one, else Last-Modified
 if both have one. If they agree, or nothing can be compared, the revisit is resolved: headers that a 304 may update
 replace the response's. If they disagree it is a mismatch, and is not resolved to an older response.
 
-The join takes no window over all captures of a URL: time is cut into ``buckets`` equal spans; the latest response of
-each (URL, span) is carried to the URL's later spans, and only captures of one span are ordered together. So a URL that
-holds a third of all captures is spread over the spans; rows carry headers, never payloads.
+The join takes no window over all captures of a URL. First all records of one URL and time are one row, with the last of
+its responses. These rows are dealt to spans by ranges of (URL, time), cut by Spark's sampled quantiles; the last
+response of each (URL, span) is carried to the URL's later spans, and only rows of one span are ordered together. So a
+URL that holds a third of all captures is spread over the spans however its times lie, in a burst or with strays far
+off, and captures of one moment were summed before. Rows carry headers, never payloads.
 
 Defined cases: a null url has no canonical URL and its revisits are not resolved; a null time is never earlier or
 later than another; of responses captured at the same latest time the one with the largest record id counts; repeated
@@ -54,28 +56,28 @@ def weak(tag: Column) -> Column:
 RECORDS = "record_id bigint, url string, captured_at bigint, kind string, payload_digest string, headers map<string,string>"
 
 
-def resolve_revisits(records: DataFrame, buckets: int = 1024) -> DataFrame:
+def resolve_revisits(records: DataFrame, buckets: int | None = None) -> DataFrame:
     """One row per revisit of RECORDS (kind revisit; full responses are of kind response; captured_at in microseconds;
     header names in lower case): record_id, canonical_url, captured_at, refers_to, status, headers (merged).
 
-    status is resolved, mismatch or missing; refers_to is null for missing, headers for all but resolved.
+    status is resolved, mismatch or missing; refers_to is null for missing, headers for all but resolved. ``buckets``: how
+    many spans there are, by default as many as Spark takes for a shuffle.
     """
     rows = staged(records.select("record_id", canonical_url(F.col("url")).alias("canonical_url"), "captured_at", "kind", "payload_digest", F.array_sort(F.map_entries("headers")).alias("headers")), "records")
-    span = rows.agg(F.min("captured_at"), F.max("captured_at")).first()
-    low, width = span[0] or 0, max(1, -(-((span[1] or 0) - (span[0] or 0) + 1) // buckets))
-    rows = rows.withColumn("span", ((F.col("captured_at") - low) / width).cast("int"))
-    full = F.when((F.col("kind") == "response") & F.col("captured_at").isNotNull(), F.struct("captured_at", "record_id", "payload_digest", "headers"))
-    usable = rows.where(F.col("canonical_url").isNotNull()).withColumn("full", full)
-    per_span = usable.where(F.col("full").isNotNull()).groupBy("canonical_url", "span").agg(F.max("full").alias("last"))
-    spans = usable.select("canonical_url", "span").distinct().join(per_span, ["canonical_url", "span"], "left")
+    full = F.when(F.col("kind") == "response", F.struct("record_id", "payload_digest", "headers"))
+    timed = rows.where(F.col("canonical_url").isNotNull() & F.col("captured_at").isNotNull() & F.col("kind").isin("response", "revisit"))
+    moments = staged(timed.groupBy("canonical_url", "captured_at").agg(F.max(full).alias("full"), F.bool_or(F.col("kind") == "revisit").alias("asked")), "moments")
+    by = [F.col("canonical_url"), F.col("captured_at")]
+    dealt = moments.repartitionByRange(buckets, *by) if buckets else moments.repartitionByRange(*by)
+    dealt = staged(dealt.withColumn("span", F.spark_partition_id()), "spans")
+    per_span = dealt.groupBy("canonical_url", "span").agg(F.max(F.when(F.col("full").isNotNull(), F.struct("captured_at", "full"))).alias("last"))
     earlier = Window.partitionBy("canonical_url").orderBy("span").rowsBetween(Window.unboundedPreceding, -1)
-    carried = spans.select("canonical_url", "span", F.max("last").over(earlier).alias("carried"))
-    within = Window.partitionBy("canonical_url", "span").orderBy("captured_at").rangeBetween(Window.unboundedPreceding, -1)
-    revisits = usable.withColumn("near", F.max("full").over(within)).where(F.col("kind") == "revisit").join(carried, ["canonical_url", "span"], "left")
-    found = F.when(F.col("captured_at").isNotNull(), F.coalesce("near", "carried"))
-    asked = ["record_id", "canonical_url", "captured_at", "payload_digest", "headers"]
-    lost = rows.where((F.col("kind") == "revisit") & F.col("canonical_url").isNull()).select(*asked)
-    joined = revisits.select(*asked, found.alias("found")).unionByName(lost, allowMissingColumns=True)
+    carried = per_span.select("canonical_url", "span", F.max("last").over(earlier).alias("carried"))
+    within = Window.partitionBy("canonical_url", "span").orderBy("captured_at").rowsBetween(Window.unboundedPreceding, -1)
+    answers = dealt.withColumn("near", F.last("full", ignorenulls=True).over(within)).where("asked").join(carried, ["canonical_url", "span"])
+    answers = answers.select("canonical_url", "captured_at", F.coalesce("near", "carried.full").alias("found"))
+    revisits = rows.where(F.col("kind") == "revisit")
+    joined = revisits.join(answers, ["canonical_url", "captured_at"], "left")
 
     own, stored = F.map_from_entries("headers"), F.map_from_entries("found.headers")
     value = lambda m, k: F.try_element_at(m, F.lit(k))
