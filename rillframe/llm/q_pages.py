@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -12,30 +14,40 @@ RULES = [
     url_filter.Rule("allow", "com", "/"), url_filter.Rule("block", "example.com", "/en/"), url_filter.Rule("allow", "www.example.com", "/en/"),
     url_filter.Rule("block", "net", "/es/"), url_filter.Rule("block", "net", "/fr/"),
 ]
-# Hosts that are blocked, with all their subdomains.
-LISTED = ["spam-farm.example.org", "cheap-pills.example.com", "casino.example.net", "thther.example.org", "tionsh.example.net", "m.ththed.example.org"]
+# Words of a domain's first label that list it, and marks of symbol noise, all of which list a page's address.
+JUNK = ["adult", "ads", "bets", "casino", "pills", "spam"]
+NOISE = ["###", "***", "%%%", "$$$"]
+
+
+def block_list(pages: DataFrame) -> DataFrame:
+    """The list of the query, made from the corpus: domains named for junk, and addresses of pages full of symbol noise."""
+    host, path = url_filter.host_of(F.col("url")), url_filter.path_of(F.col("url"))
+    junk = F.filter(url_filter.parents(F.col("host")), lambda d: F.arrays_overlap(F.split(F.substring_index(d, ".", 1), "-"), F.array(*map(F.lit, JUNK))))
+    domains = pages.select(host.alias("host")).distinct().select(F.explode(junk).alias("host"))
+    noisy = reduce(lambda a, b: a & b, [F.contains("html", F.lit(x)) for x in NOISE])
+    return domains.unionByName(pages.where(noisy & (host != "") & (path != "")).select(F.concat(host, path).alias("host"))).distinct()
 
 
 def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pages = table(spark, sf_dir, "pages").select("page_id", "url")
-    listed = spark.createDataFrame([(h,) for h in LISTED], "host string")
-    return url_filter.filter_urls(pages, RULES, listed).select("page_id", "host", "path", "rule", "verdict")
+    pages = table(spark, sf_dir, "pages")
+    listed = block_list(pages.select("url", "html"))
+    return url_filter.filter_urls(pages.select("page_id", "url"), RULES, listed).select("page_id", "host", "path", "rule", "verdict")
 
 
-_HOSTS = ", ".join(f"('{h}')" for h in LISTED)
+_NOISY = "coalesce(" + " AND ".join(f"contains(html, '{x}')" for x in NOISE) + ", false)"
 OP6_SQL = rf"""
 WITH parts AS (
   SELECT page_id, translate(regexp_extract(coalesce(url, ''), '(?s)^.*?://([^/?#]*)', 1), '{url_filter.UPPER}', '{url_filter.LOWER}') AS host,
-         regexp_extract(coalesce(url, ''), '(?s)^.*?://[^/?#]*([^?#]*)', 1) AS path
+         regexp_extract(coalesce(url, ''), '(?s)^.*?://[^/?#]*([^?#]*)', 1) AS path, {_NOISY} AS noisy
   FROM pages),
-listed(h) AS (VALUES {_HOSTS}),
+listed AS (SELECT DISTINCT host || path AS h FROM parts WHERE noisy AND host <> '' AND path <> ''),
 judged AS (
   SELECT *, CASE WHEN ('.' || host) LIKE '%.www.example.com' AND path LIKE '/en/%' THEN 'www.example.com/en/'
                  WHEN ('.' || host) LIKE '%.example.com' AND path LIKE '/en/%' THEN 'example.com/en/'
                  WHEN ('.' || host) LIKE '%.net' AND path LIKE '/es/%' THEN 'net/es/'
                  WHEN ('.' || host) LIKE '%.net' AND path LIKE '/fr/%' THEN 'net/fr/'
                  WHEN ('.' || host) LIKE '%.com' AND path LIKE '/%' THEN 'com/' END AS rule,
-         EXISTS (SELECT 1 FROM listed WHERE parts.host = h OR ends_with(parts.host, '.' || h)) AS hit
+         len(list_intersect(string_split_regex(host, '[.-]'), {JUNK})) > 0 OR (host <> '' AND path <> '' AND host || path IN (SELECT h FROM listed)) AS hit
   FROM parts)
 SELECT page_id, host, path, rule,
        CASE WHEN rule IN ('www.example.com/en/', 'com/') THEN 'allow' WHEN rule IS NOT NULL THEN 'block' WHEN hit THEN 'block' ELSE 'allow' END AS verdict

@@ -4,18 +4,23 @@ The cascade encodes which keys of a finite universe are listed. Level 0 is a Blo
 one of the unlisted keys that level 0 lets through; level 2 one of the listed keys that level 1 lets through; and so
 on until a level lets nothing wrong through. A key of the universe is listed if the number of levels that it passes
 in a row is odd. That is exact for each key of the universe the cascade was built over, so the universe is the
-corpus's complete set of keys: every host with each of its parent domains.
+corpus's complete set of keys: every host with each of its parent domains, and every address (host and path).
 
-The filters go to the executors as constants of the plan; no row is joined. Their size is known before they are
-gathered: if the bits of a level would exceed ``max_level_bits``, hosts meet the list in a shuffled semi-join instead.
+The filters go to the executors as binary constants of the plan; no row is joined. Their size is known before they are
+gathered: keys are dealt by hash to as many shards as keep a shard's first filter below ``max_level_bits``, each shard has a
+cascade of its own, and a key is looked up in its shard's. The shards of one pass over the rows have ``pass_bits``
+together; with more, passes follow each other, each written before the next. So the method is the same at every size, and
+what is sent at once is bounded.
 
 Defined cases: a null url, or one without "://", has an empty host and path and no key, so no rule fits and nothing
-is listed; a host without a dot is its own only key; empty tables give empty results; equal rows get equal verdicts;
-extra columns pass through, and clashing ones keep their names (made ones get leading underscores).
+is listed; a host without a dot is its own only key; an address is listed as "host/path" and matches that path only; null
+and empty listed keys list nothing, repeated ones count once; empty tables give empty results; equal rows get equal
+verdicts; extra columns pass through, and clashing ones keep their names (made ones get leading underscores).
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from math import ceil, log
 
@@ -69,45 +74,54 @@ def by_rules(rules: list[Rule], host: Column, path: Column, what: str) -> Column
 
 @dataclass(frozen=True)
 class Level:
-    """A Bloom filter: ``words`` holds its bits by 64."""
+    """A Bloom filter: bit i is bit i % 8 of byte i // 8 of ``table``."""
 
     bits: int
     hashes: int
     seed: int
-    words: tuple[int, ...]
+    table: bytes
 
     def holds(self, key: Column) -> Column:
-        table = F.lit(list(self.words)).cast("array<bigint>")
-        return let(table, lambda t: F.forall(F.array(*self.places(key)), lambda at: F.call_function("shiftright", F.get(t, F.shiftright(at, 6).cast("int")), (at % 64).cast("int")).bitwiseAND(F.lit(1)) == 1)) if self.bits else F.lit(False)
+        table = F.lit(bytearray(self.table))
 
-    def places(self, key: Column) -> list[Column]:
-        return places(key, self.bits, self.hashes, self.seed)
+        def bit(at: Column) -> Column:
+            byte = F.conv(F.hex(F.substring(table, (at / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+            return F.call_function("shiftright", byte, (at % 8).cast("int")).bitwiseAND(F.lit(1)) == 1
+
+        return F.forall(F.array(*places(key, self.bits, self.hashes, self.seed)), bit)
 
 
 def places(key: Column, bits: int, hashes: int, seed: int) -> list[Column]:
     return [F.pmod(F.xxhash64(key, F.lit(seed * 64 + k)), F.lit(bits).cast("bigint")) for k in range(hashes)]
 
 
+def hashes_of(rate: float) -> int:
+    return max(1, round(-log(rate, 2)))
+
+
+def level_bits(n_keys: int, rate: float) -> int:
+    return 64 * ceil(n_keys * hashes_of(rate) / log(2) / 64)
+
+
 def make_level(keys: DataFrame, column: str, n_keys: int, rate: float, seed: int) -> Level:
     """A filter of ``keys`` that lets about ``rate`` of other keys through. What reaches the driver is its bits."""
-    hashes = max(1, round(-log(rate, 2)))
-    bits = 64 * ceil(n_keys * hashes / log(2) / 64)
+    hashes, bits = hashes_of(rate), level_bits(n_keys, rate)
     at = keys.select(F.explode(F.array(*places(F.col(column), bits, hashes, seed))).alias("at"))
     words = at.groupBy(F.shiftright("at", 6).cast("int").alias("word")).agg(F.bit_or(F.call_function("shiftleft", F.lit(1).cast("bigint"), (F.col("at") % 64).cast("int"))).alias("mask"))
-    table = [0] * (bits // 64)
+    table = bytearray(bits // 8)
     for word, mask in words.toLocalIterator():
-        table[word] = mask
-    return Level(bits, hashes, seed, tuple(table))
-
-
-def level_bits(n_keys: int, rate: float) -> int:
-    return 64 * ceil(n_keys * max(1, round(-log(rate, 2))) / log(2) / 64)
+        table[8 * word : 8 * word + 8] = (mask % (1 << 64)).to_bytes(8, "little")
+    return Level(bits, hashes, seed, bytes(table))
 
 
 @dataclass(frozen=True)
 class Cascade:
     levels: tuple[Level, ...]
 
+    @property
+    def bits(self) -> int:
+        return sum(level.bits for level in self.levels)
+
     def lists(self, key: Column) -> Column:
         """Whether a key of the universe is listed: the first level that stops it has an odd place (0-based)."""
         verdict = F.lit(len(self.levels) % 2 == 1)
@@ -116,21 +130,24 @@ class Cascade:
         return verdict
 
 
-def build_cascade(listed: DataFrame, universe: DataFrame, column: str = "key", max_level_bits: int = 1 << 23, max_levels: int = 40) -> Cascade | None:
-    """Over distinct keys; ``listed`` counts only where it is in ``universe``. None if a level would be too large."""
+def marked_keys(listed: DataFrame, universe: DataFrame, column: str = "key") -> DataFrame:
+    """The distinct keys of ``universe``, staged, with is_listed; ``listed`` counts only where it is in ``universe``."""
     keys = universe.join(listed.select(column, F.lit(True).alias("is_listed")), column, "left").select(column, F.coalesce("is_listed", F.lit(False)).alias("is_listed"))
-    keys = staged(keys.where(F.col(column).isNotNull()), "universe")
-    n = {bool(row[0]): row[1] for row in keys.groupBy("is_listed").count().toLocalIterator()}
-    n_in, n_out = n.get(True, 0), n.get(False, 0)
+    return staged(keys.where(F.col(column).isNotNull()), "universe")
+
+
+def first_rate(n_in: int, n_out: int) -> float:
+    """The first level lets through about as many unlisted keys as there are listed ones; later ones halve them."""
+    return min(0.5, max(1e-6, n_in / max(1, n_out) / 2))
+
+
+def _cascade(keys: DataFrame, column: str, n_in: int, n_out: int, max_levels: int = 60) -> Cascade:
     levels: list[Level] = []
     left = keys
     while n_in:
-        # the first level lets through about as many unlisted keys as there are listed ones; later ones halve them
-        rate = min(0.5, max(1e-6, n_in / max(1, n_out) / 2)) if not levels else 0.5
-        if level_bits(n_in, rate) > max_level_bits:
-            return None
         if len(levels) >= max_levels:
             raise ValueError("the cascade doesn't end; are keys repeated?")
+        rate = 0.5 if levels else first_rate(n_in, n_out)
         side = F.col("is_listed") == F.lit(len(levels) % 2 == 0)
         levels.append(make_level(left.where(side), column, n_in, rate, len(levels)))
         left = left.where(side | levels[-1].holds(F.col(column)))  # what this level encodes, and what it lets through wrongly
@@ -138,23 +155,60 @@ def build_cascade(listed: DataFrame, universe: DataFrame, column: str = "key", m
     return Cascade(tuple(levels))
 
 
-def filter_urls(pages: DataFrame, rules: list[Rule], listed: DataFrame, url: str = "url", max_level_bits: int = 1 << 23) -> DataFrame:
-    """``pages`` with host, path, rule and verdict: the longest fitting rule's, else block if the host or a parent is listed.
+def _sizes(keys: DataFrame) -> tuple[int, int]:
+    n = {bool(row[0]): row[1] for row in keys.groupBy("is_listed").count().toLocalIterator()}
+    return n.get(True, 0), n.get(False, 0)
+
+
+def build_cascade(listed: DataFrame, universe: DataFrame, column: str = "key") -> Cascade:
+    """One cascade over distinct keys."""
+    keys = marked_keys(listed, universe, column)
+    return _cascade(keys, column, *_sizes(keys))
+
+
+SHARD = 1 << 20  # seed of the hash that deals keys to shards
+
+
+def shard_of(key: Column, shards: int) -> Column:
+    return F.pmod(F.xxhash64(key, F.lit(SHARD)), F.lit(shards))
+
+
+def build_shards(listed: DataFrame, universe: DataFrame, column: str = "key", max_level_bits: int = 1 << 23) -> Iterator[tuple[int, int, Cascade]]:
+    """(shards, shard, its cascade), one after the other."""
+    keys = marked_keys(listed, universe, column)
+    n_in, n_out = _sizes(keys)
+    shards = max(1, ceil(level_bits(n_in, first_rate(n_in, n_out)) / max_level_bits)) if n_in else 1
+    for k in range(shards):
+        part = keys if shards == 1 else keys.where(shard_of(F.col(column), shards) == k)
+        yield shards, k, _cascade(part, column, *(_sizes(part) if shards > 1 else (n_in, n_out)))
+
+
+def _in_shard(shards: int, shard: int, cascade: Cascade) -> Callable[[Column], Column]:
+    return lambda key: (shard_of(key, shards) == shard) & cascade.lists(key)
+
+
+def filter_urls(pages: DataFrame, rules: list[Rule], listed: DataFrame, url: str = "url", max_level_bits: int = 1 << 23, pass_bits: int = 1 << 26) -> DataFrame:
+    """``pages`` with host, path, rule and verdict: the longest fitting rule's, else block if the host, a parent or the address is listed.
 
-    ``listed`` has a column host.
+    ``listed`` has a column host: a domain, which lists its subdomains too, or an address with its path.
     """
-    host, path, rule, verdict, hit_host, is_hit = unused(pages, "host", "path", "rule", "verdict", "hit_host", "is_hit")
+    host, path, rule, verdict, keys, hit = unused(pages, "host", "path", "rule", "verdict", "keys", "hit")
     rows = pages.withColumns({host: host_of(F.col(url)), path: path_of(F.col(url))})
-    hosts = pages.select(host_of(F.col(url)).alias("host")).distinct()
-    universe = hosts.select(F.explode(parents(F.col("host"))).alias("key")).distinct()
-    wanted = listed.select(F.translate("host", UPPER, LOWER).alias("key")).where(F.col("key") != "").distinct()
-    cascade = build_cascade(wanted, universe, max_level_bits=max_level_bits)
+    seen = pages.select(host_of(F.col(url)).alias("host"), path_of(F.col(url)).alias("path")).distinct()
+    universe = seen.select("host").distinct().select(F.explode(parents(F.col("host"))).alias("key")).distinct()
+    universe = universe.unionByName(seen.where((F.col("host") != "") & (F.col("path") != "")).select(F.concat("host", "path").alias("key")).distinct()).distinct()
+    own = F.regexp_extract("host", "^[^/]*", 0)
+    wanted = listed.select(F.concat(F.translate(own, UPPER, LOWER), F.regexp_extract("host", "(?s)/.*$", 0)).alias("key")).where(F.col("key") != "").distinct()
     columns = [F.col(f"`{c}`") for c in [*pages.columns, host, path]]
-    if cascade is None:  # too large to send: distinct hosts meet the list in a shuffled join, and pages meet those hosts
-        hit = hosts.select("host", F.explode(parents(F.col("host"))).alias("key")).join(wanted, "key", "left_semi").select(F.col("host").alias(hit_host)).distinct()
-        rows = rows.join(hit, F.col(host) == F.col(hit_host), "left").select(*columns, F.col(hit_host).isNotNull().alias(is_hit))
-        in_list = F.col(is_hit)
-    else:
-        in_list = F.exists(parents(F.col(host)), cascade.lists)
-    own = by_rules(rules, F.col(host), F.col(path), "verdict")
-    return rows.select(*columns, by_rules(rules, F.col(host), F.col(path), "name").alias(rule), F.coalesce(own, F.when(in_list, "block").otherwise("allow")).alias(verdict))
+    address = F.when((F.col(host) != "") & (F.col(path) != ""), F.array(F.concat(F.col(host), F.col(path)))).otherwise(F.array().cast("array<string>"))
+    rows = rows.select(*columns, F.concat(parents(F.col(host)), address).alias(keys))
+    found, sent = F.lit(False), 0
+    for shards, k, cascade in build_shards(wanted, universe, max_level_bits=max_level_bits):
+        if sent and sent + cascade.bits > pass_bits:
+            rows = staged(rows.select(*columns, F.col(f"`{keys}`"), found.alias(hit)), "pass")
+            found, sent = F.col(hit), 0
+        sent += cascade.bits
+        if cascade.levels:
+            found = found | F.exists(F.col(keys), cascade.lists if shards == 1 else _in_shard(shards, k, cascade))
+    given = by_rules(rules, F.col(host), F.col(path), "verdict")
+    return rows.select(*columns, by_rules(rules, F.col(host), F.col(path), "name").alias(rule), F.coalesce(given, F.when(found, "block").otherwise("allow")).alias(verdict))
