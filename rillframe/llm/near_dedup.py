@@ -135,12 +135,14 @@ def _linked(pairs: DataFrame, texts: DataFrame, found: DataFrame, config: Config
     return components(links.unionByName(found.select(F.col("root").alias("a"), F.col("node").alias("b"))), "a", "b"), pairs
 
 
-def _rare_shingles(reps: DataFrame, texts: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
-    """Of reps (rep, n, root): (rep, own: how many shingles no other of them has) and (h, rep) of the prefix filter.
-
-    In the order of rarity, two sets of similarity ``percent`` share one of the first n - ceil(percent * n) + 1 shingles
-    of each. Own shingles come first and are shared with none, so only the others are gathered by set. A shingle all of
-    whose sets are in one component pairs nothing.
+def _rare_shingles(reps: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
+    """Of reps (rep, n, root): (h, rep, n, root, fit), the shingles of the prefix filter.
+
+    In the order of rarity, the shingle at place r of n is the first that a set shares with another of m shingles only if
+    the n - r + 1 left are enough for the similarity, so only if m <= fit. Shingles that no other set has come first and
+    are shared with none, so only the others are gathered by set. A set whose other shingles are too few for any
+    partner has no row: many copies of one text, each edited too much to be alike, end here. So do shingles all of whose
+    sets are in one component.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -155,11 +157,11 @@ def _rare_shingles(reps: DataFrame, texts: DataFrame, percent: int) -> tuple[Dat
     rows = texts.join(reps, "rep").select("rep", "text", "n", "root").mapInArrow(run, "rep bigint, n bigint, root bigint, h bigint")
     rows = staged(rows, "shingles")
     often = rows.groupBy("h").agg(F.count("*").alias("sets"), F.min("root").alias("low"), F.max("root").alias("high")).where(F.col("sets") > 1)
-    shared = rows.join(often.select("h", "sets", (F.col("low") < F.col("high")).alias("mixed")), "h").groupBy("rep", "n").agg(F.sort_array(F.collect_list(F.struct("sets", "h", "mixed"))).alias("shared"))
-    shared = staged(shared.withColumn("own", F.col("n") - F.size("shared")), "shared")
-    prefix = F.greatest(F.lit(0), F.col("n") - F.ceil(percent * F.col("n") / 100) + 1 - F.col("own")).cast("int")
-    found = shared.select("rep", F.explode(F.filter(F.slice("shared", F.lit(1), prefix), lambda e: e["mixed"])).alias("e")).select(F.col("e.h").alias("h"), "rep")
-    return shared.select("rep", "own"), found
+    shared = rows.join(often.select("h", "sets", (F.col("low") < F.col("high")).alias("mixed")), "h").groupBy("rep", "n", "root").agg(F.sort_array(F.collect_list(F.struct("sets", "h", "mixed"))).alias("shared"))
+    placed = shared.select("rep", "n", "root", F.size("shared").alias("others"), F.posexplode("shared").alias("at", "e"))
+    fit = F.floor(((100 + percent) * (F.col("others") - F.col("at")) - percent * F.col("n")) / percent)
+    placed = placed.where("e.mixed").select(F.col("e.h").alias("h"), "rep", "n", "root", fit.alias("fit"))
+    return placed.where(100 * F.col("fit") >= percent * F.col("n"))
 
 
 BITS = 1024
@@ -176,28 +178,20 @@ def _parities(reps: DataFrame, texts: DataFrame) -> DataFrame:
     return texts.join(reps.select("rep"), "rep").select("rep", "text").mapInArrow(run, "rep bigint, parity array<bigint>")
 
 
-def _possible(reps: DataFrame, own: DataFrame, prefixes: DataFrame, parities: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a, b) of reps (rep, n, root) of different components that meet in a prefix and can be similar enough.
+def _possible(prefixes: DataFrame, parities: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) of different components that meet in a prefix and can be similar enough.
 
-    A set of n shingles, ``own`` of them nowhere else, shares n - own with any other at most; so a partner of m shingles
-    needs m <= ((100 + percent) * (n - own) - percent * n) / percent, and percent * n <= 100 * m. Many copies of
-    one text, each edited too much to be alike, fall out here before they are paired: each has so many shingles of its
-    own that only much smaller sets could be its partners. The larger set is paired with the smaller. Places at which
-    the parities of two sets differ are no more than elements that only one of them has, so too many of them rule a
-    pair out as well. A set without a row in ``own`` shares no shingle with any other.
+    The larger set is paired with the smaller, as far as both fit. Places at which the parities of two sets differ are no
+    more than elements that only one of them has, so too many of them rule a pair out as well.
     """
-    rows = reps.join(own, "rep").withColumn("most", F.floor(((100 + percent) * (F.col("n") - F.col("own")) - percent * F.col("n")) / percent))
-    larger, smaller = F.col("most") >= F.ceil(percent * F.col("n") / 100), F.col("most") >= F.col("n")
-    rows = staged(prefixes.join(rows.where(larger | smaller).drop("own"), "rep"), "possible")
-    x, y = (rows.where(side).select("h", *[F.col(c).alias(f"{c}_{k}") for c in ("rep", "n", "most", "root")]) for k, side in (("x", larger), ("y", smaller)))
-    fits = (F.col("root_x") != F.col("root_y")) & (F.col("n_y") <= F.col("n_x")) & (F.col("n_y") <= F.col("most_x")) & (F.col("n_x") <= F.col("most_y")) & (100 * F.col("n_y") >= percent * F.col("n_x"))
-    pairs = staged(x.join(y, "h").where(fits).select("rep_x", "n_x", "rep_y", "n_y").distinct(), "met")
-    for k in "xy":
-        pairs = pairs.join(parities.select(F.col("rep").alias(f"rep_{k}"), F.col("parity").alias(f"parity_{k}")), f"rep_{k}")
+    rows = staged(prefixes.join(parities, "rep"), "possible")
+    x, y = (rows.where(side).select("h", *[F.col(c).alias(f"{c}_{k}") for c in ("rep", "n", "root", "fit", "parity")]) for k, side in (("x", F.lit(True)), ("y", F.col("fit") >= F.col("n"))))
     total = F.col("n_x") + F.col("n_y")
+    fits = (F.col("root_x") != F.col("root_y")) & (F.col("n_y") <= F.col("fit_x")) & (F.col("n_x") <= F.col("fit_y")) & (100 * F.col("n_y") >= percent * F.col("n_x"))
+    fits = fits & ((F.col("n_y") < F.col("n_x")) | ((F.col("n_y") == F.col("n_x")) & (F.col("rep_y") < F.col("rep_x"))))
     differ = F.aggregate(F.zip_with("parity_x", "parity_y", lambda i, j: F.bit_count(i.bitwiseXOR(j))), F.lit(0), lambda i, j: i + j)
-    pairs = pairs.where(differ <= total - 2 * F.ceil(percent * total / (100 + percent)))
-    return pairs.select(F.least("rep_x", "rep_y").alias("a"), F.greatest("rep_x", "rep_y").alias("b")).distinct()
+    fits = fits & (differ <= total - 2 * F.ceil(percent * total / (100 + percent)))
+    return x.join(y, "h").where(fits).select(F.least("rep_x", "rep_y").alias("a"), F.greatest("rep_x", "rep_y").alias("b")).distinct()
 
 
 def near_duplicates(docs: DataFrame, config: Config = Config(), doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -237,8 +231,7 @@ def near_duplicates(docs: DataFrame, config: Config = Config(), doc_id: str = "d
     labelled = staged(members.join(found, F.col("rep") == F.col("node"), "left").select("bucket", "rep", "n", F.coalesce("root", "rep").alias("root")), "labelled")
     mixed = labelled.groupBy("bucket").agg(F.min("root").alias("low"), F.max("root").alias("high")).where(F.col("low") < F.col("high")).select("bucket")
     reps = staged(labelled.join(mixed, "bucket").select("rep", "n", "root").distinct(), "reps")
-    own, prefixes = _rare_shingles(reps, texts, config.percent)
-    third = _possible(reps, own, prefixes, staged(_parities(reps, texts), "parities"), config.percent)
+    third = _possible(_rare_shingles(reps, texts, config.percent), _parities(reps, texts), config.percent)
     known = tried.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
     joined, _ = _linked(staged(third.join(known, ["a", "b"], "left_anti"), "pairs"), texts, found, config)
 
