@@ -1,18 +1,20 @@
 """Best-fit packing of token sequences by the sum-of-squares rule.
 
 A document is its token ids and an end id. Documents longer than a sequence are cut; then pieces are packed: each goes
-to the open sequence for which the sum, over residual gaps, of the squared counts of open sequences becomes smallest; a
-new one is opened only where none has room. A piece that takes a bin of gap g to gap r changes that sum by
+where the sum, over residual gaps, of the squared counts of open sequences becomes smallest; a new sequence is opened
+only where no open one has room, as sequences should be few. A piece that takes a bin of gap g to gap r changes that sum by
 2 * (count[r] - count[g]) + 2, where full bins count nothing; so the rule needs the counts alone. Within a group pieces
-come longest first, ties by id.
+come longest first, ties by the number that a row gets when it is staged.
 
 Tokenizing is one pass over the texts that leaves a row of some tens of bytes per piece, staged. Those rows are dealt
-by hash to groups of about ``group_tokens`` tokens, which are packed independently: a task holds one group's numbers,
-never texts, and a group leaves a few sequences unfilled at most, however large the input is.
+by the hash of their numbers, so repeated rows are spread like others, to groups of about ``group_tokens`` tokens or ``group_pieces`` pieces, which
+are packed independently, whichever of them share a task: what is held at once is one group's numbers, never texts, and
+a group leaves a few sequences unfilled at most, however large the input is.
 
 Defined cases: a null or empty text is the end id alone; no row is dropped, repeated rows are packed each for itself; a
 document of 2048 tokens is one full sequence, a longer one is cut so that its first piece takes the remainder; rows
-with a null id are packed like others; an empty table gives an empty result; extra columns are not read.
+with a null id are packed like others; ids may be of any type; an empty table gives an empty result; extra columns are
+not read.
 """
 
 from __future__ import annotations
@@ -25,7 +27,6 @@ from functools import lru_cache, partial
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -43,6 +44,7 @@ class Config:
     capacity: int = 2048
     end_id: int = 0
     group_tokens: int = 12_000_000
+    group_pieces: int = 500_000
 
 
 def public_config(**changes: int) -> Config:
@@ -67,27 +69,30 @@ def cut(length: int, capacity: int) -> list[tuple[int, int]]:
     return [(0, min(first, length))] + [(start, capacity) for start in range(first, length, capacity)] if length > capacity else [(0, length)]
 
 
-PIECES = "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint"
+PIECES = "piece int, start bigint, length bigint, ids_crc32 bigint"
+NAMES = ["piece", "start", "length", "ids_crc32"]
+TYPES = [pa.int32(), pa.int64(), pa.int64(), pa.int64()]
 
 
 def pieces(docs: DataFrame, config: Config, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """doc_id and PIECES of each document."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = partial(encoder(config.ranks, config.pattern).encode, allowed_special="all")
         for batch in batches:
+            owner: list[int] = []
             out: list[tuple] = []
-            ids_of, texts = batch.column(0).to_pylist(), batch.column(1)
-            for i, key in enumerate(ids_of):
-                value = texts[i].as_py()
+            for i, value in enumerate(batch.column(1)):
+                value = value.as_py()
                 ids = np.array([*encode(value), config.end_id] if value else [config.end_id], "<u4")
-                out += [(key, k, start, n, zlib.crc32(ids[start : start + n])) for k, (start, n) in enumerate(cut(len(ids), config.capacity))]
-            columns = list(zip(*out, strict=True)) or [[]] * 5
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, TYPES, strict=True)], names=NAMES)
-
-    return docs.select(F.col(doc_id).cast("bigint"), F.col(text).cast("string")).mapInArrow(run, PIECES)
+                made = cut(len(ids), config.capacity)
+                owner += [i] * len(made)
+                out += [(k, start, n, zlib.crc32(ids[start : start + n])) for k, (start, n) in enumerate(made)]
+            columns = list(zip(*out, strict=True)) or [[]] * 4
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(owner, pa.int64())), *[pa.array(c, t) for c, t in zip(columns, TYPES, strict=True)]], names=["doc_id", *NAMES])
 
-
-NAMES = ["doc_id", "piece", "start", "length", "ids_crc32"]
-TYPES = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64()]
+    own = docs.schema[doc_id].dataType.simpleString()
+    return docs.select(F.col(doc_id).alias("doc_id"), F.col(text).cast("string")).mapInArrow(run, f"doc_id {own}, {PIECES}")
 
 
 def sum_of_squares(lengths: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray]:
@@ -118,24 +123,21 @@ def sum_of_squares(lengths: np.ndarray, capacity: int) -> tuple[np.ndarray, np.n
 
 
 def pack(rows: DataFrame, config: Config) -> DataFrame:
-    """``pieces`` rows with sequence_id and offset."""
-    total = rows.agg(F.sum("length")).first()[0] or 0
-    groups = max(1, -(-total // config.group_tokens))
-    dealt = rows.withColumn("_group", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32", F.lit("group")), F.lit(groups)).cast("int")).repartition(int(groups), "_group")
+    """``pieces`` rows, of which each has a number in column row, with sequence_id and offset."""
+    total, n = rows.agg(F.sum("length"), F.count("*")).first()
+    groups = max(1, -(-(total or 0) // config.group_tokens), -(-n // config.group_pieces))
+    dealt = rows.withColumn("group", F.pmod(F.xxhash64("row", F.lit("group")), F.lit(groups)).cast("int"))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        task = TaskContext.get().partitionId()
-        found = [b for b in batches if b.num_rows]
-        if not found:
-            return
-        part = pa.Table.from_batches(found).sort_by([("length", "descending"), ("doc_id", "ascending"), ("piece", "ascending"), ("start", "ascending"), ("ids_crc32", "ascending")])
-        place, offset = sum_of_squares(part.column("length").to_numpy(), config.capacity)
-        part = part.drop_columns(["_group"]).append_column("sequence_id", pa.array(place + (task << 40))).append_column("offset", pa.array(offset))
-        yield from part.to_batches(max_chunksize=50_000)
+    def run(group: pa.Table) -> pa.Table:
+        number = group.column("group")[0].as_py()
+        group = group.sort_by([("length", "descending"), ("row", "ascending")])
+        place, offset = sum_of_squares(group.column("length").to_numpy(), config.capacity)
+        return group.select(["doc_id", *NAMES]).append_column("sequence_id", pa.array(place + (number << 40))).append_column("offset", pa.array(offset))
 
-    return dealt.mapInArrow(run, PIECES + ", sequence_id bigint, offset bigint")
+    own = rows.schema["doc_id"].dataType.simpleString()
+    return dealt.groupBy("group").applyInArrow(run, f"doc_id {own}, {PIECES}, sequence_id bigint, offset bigint")
 
 
 def pack_documents(docs: DataFrame, config: Config | None = None, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     config = config or public_config()
-    return pack(staged(pieces(docs, config, doc_id, text), "pieces"), config)
+    return pack(staged(pieces(docs, config, doc_id, text).withColumn("row", F.monotonically_increasing_id()), "pieces"), config)

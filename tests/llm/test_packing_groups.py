@@ -1,0 +1,44 @@
+"""Groups of packing: each packed by itself, repeated rows and rows without ids spread, ids of any type."""
+
+from collections import Counter, defaultdict
+
+import pytest
+
+from rillframe.llm import packing
+from tests.llm.test_documents import prose
+
+
+def check(rows, n):
+    by_bin = defaultdict(list)
+    for r in rows:
+        by_bin[r["sequence_id"]].append((r["offset"], r["length"]))
+    for places in by_bin.values():
+        at = 0
+        for offset, length in sorted(places):
+            assert offset == at
+            at += length
+        assert at <= 2048
+    assert len(rows) == n
+    return Counter(i >> 40 for i in by_bin)
+
+
+@pytest.mark.parametrize("ids", ["null", "same", "text"])
+def test_repeated_rows_are_spread(spark, ids):
+    text = prose(1, 40)
+    rows = [({"null": None, "same": "7", "text": f"d{i % 9}"}[ids], text) for i in range(600)]
+    docs = spark.createDataFrame(rows, "doc_id string, text string")
+    sequences = check(packing.pack_documents(docs, packing.public_config(group_tokens=10_000)).collect(), 600)
+    assert len(sequences) >= 5 and max(sequences.values()) <= 2 * min(sequences.values())
+
+
+def test_groups_do_not_mix(spark):
+    docs = spark.createDataFrame([(i, prose(i, 30 + i % 50)) for i in range(500)], "doc_id long, text string")
+    rows = packing.pack_documents(docs, packing.public_config(group_tokens=15_000)).collect()
+    groups = check(rows, 500)
+    tokens = sum(r["length"] for r in rows)
+    assert len(groups) == -(-tokens // 15_000) and sum(groups.values()) <= -(-tokens // 2048) + 2 * len(groups)
+    ends = defaultdict(int)
+    for r in rows:
+        ends[r["sequence_id"]] = max(ends[r["sequence_id"]], r["offset"] + r["length"])
+    partly = Counter(i >> 40 for i, e in ends.items() if e < 0.75 * 2048)
+    assert max(partly.values(), default=0) <= 2  # a group leaves a sequence or two unfilled
