@@ -3,30 +3,37 @@
 Texts and test items are normalised: lower-cased, and each run of characters that are neither letters nor digits
 becomes one space. An item of n characters may differ by k = floor(``error_rate`` * n) edits. It is split into k + 1
 pieces; a passage within k edits holds one of them unchanged. All pieces of a block of items are found in one pass
-over a text (Aho-Corasick); around each hit, at the place where the item would lie, Myers' bit-parallel distance
-decides whether the item occurs within k edits.
+over a text (Aho-Corasick). Where an item lies unchanged around a hit its distance is 0; the other places are gathered
+over the texts of a batch and verified together by Myers' bit-parallel distance, on columns of 64-bit words.
 
-Items go to the executors in blocks of at most ``block_chars`` characters, one pass over the texts for each block, so
-what is broadcast is bounded however many items there are. Texts are not shuffled.
+Texts are read once and not shuffled. Items go to the executors in blocks of about ``block_chars`` characters, and a worker
+holds the automata of ``held`` blocks and builds the others again for each batch of texts; so what it holds is bounded
+however many items there are, and what is broadcast is ``pass_chars`` characters. Only beyond that (64 million
+characters of items) the texts are read again, once for each such part of the items.
 
 Items of fewer than ``min_chars`` characters when normalised have no budget: they match where a text holds them unchanged
 and whole, between the borders of words. Scripts without spaces have a border at each character.
 
 Defined cases: items that are null or empty match nothing, nor do such short ones of a single word: it can't be told
 from ordinary prose; null and empty texts hold nothing; equal items are reported each under its id;
-repeated rows are reported each; a text that holds an item more than once is reported once, with the least distance
+repeated rows are reported each; ids may be of any type; a text that holds an item more than once is reported once, with the least distance
 and the first place of it; empty tables give empty results; other columns are not read.
 """
 
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from functools import lru_cache
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 GAP = re.compile(r"[\W_]+")
 # Fixed value: characters of scripts without spaces (Thai to Khmer, kana, Han): each is taken for a word.
@@ -38,6 +45,8 @@ class Config:
     error_rate: float = 0.06
     min_chars: int = 32
     block_chars: int = 1_000_000
+    held: int = 4
+    pass_chars: int = 64_000_000
 
 
 def normalised(text: str) -> str:
@@ -89,11 +98,58 @@ class Pattern:
         return found
 
 
+def distances(patterns: list[Pattern], windows: list[str]) -> list[tuple[int, int] | None]:
+    """``Pattern.best`` of each pattern in its window, all at once: a column is a row of 64-bit words for each pattern."""
+    if not patterns:
+        return []
+    words = max(-(-p.size // 64) for p in patterns)
+    n, kinds = len(patterns), list({id(p): p for p in patterns}.values())
+    alphabet = np.array(sorted({ord(c) for p in kinds for c in p.equal}), np.uint32)
+    equal = np.zeros((len(kinds), len(alphabet) + 1, words), np.uint64)  # the last row is of characters that no pattern has
+    for k, p in enumerate(kinds):
+        for c, bits in p.equal.items():
+            equal[k, np.searchsorted(alphabet, ord(c))] = np.frombuffer(bits.to_bytes(8 * words, "little"), "<u8")
+    number = {id(p): k for k, p in enumerate(kinds)}
+    which = np.array([number[id(p)] for p in patterns])
+    lengths = np.array([len(w) for w in windows])
+    code = np.full((n, lengths.max(initial=0)), len(alphabet))
+    for i, w in enumerate(windows):
+        points = np.frombuffer(w.encode("utf-32-le", "surrogatepass"), "<u4")
+        at = np.minimum(np.searchsorted(alphabet, points), len(alphabet) - 1)
+        code[i, : len(points)] = np.where(alphabet[at] == points, at, len(alphabet))
+    size, budget = np.array([p.size for p in patterns]), np.array([p.k for p in patterns])
+    top, bit, every = (size - 1) // 64, ((size - 1) % 64).astype(np.uint64), np.arange(n)
+    one, last = np.uint64(1), np.uint64(63)
+    plus, minus = np.full((n, words), ~np.uint64(0)), np.zeros((n, words), np.uint64)
+    score, best, end = size.copy(), budget + 1, np.zeros(n, np.int64)
+    for t in range(code.shape[1]):
+        eq = equal[which, code[:, t]]
+        added, total, carry = eq & plus, np.empty_like(plus), np.zeros(n, np.uint64)
+        for w in range(words):
+            part = added[:, w] + plus[:, w]
+            total[:, w] = part + carry
+            carry = ((part < added[:, w]) | (total[:, w] < part)).astype(np.uint64)
+        vertical, horizontal = eq | minus, (total ^ plus) | eq
+        up, down = minus | ~(horizontal | plus), plus & horizontal
+        score = score + ((up[every, top] >> bit) & one).astype(np.int64) - ((down[every, top] >> bit) & one).astype(np.int64)
+        for column in (up, down):
+            over = column[:, :-1] >> last
+            column <<= one
+            column[:, 1:] |= over
+        plus, minus = down | ~(vertical | up), up & vertical
+        better = (score < best) & (t < lengths)
+        best[better], end[better] = score[better], t + 1
+    return [(int(b), int(e)) if b <= k else None for b, e, k in zip(best, end, budget, strict=True)]
+
+
 class Matcher:
-    def __init__(self, items: list[tuple[object, str]], config: Config) -> None:
+    """The pieces of a block of items. ``together``: how many places are verified at once."""
+
+    def __init__(self, items: list[tuple[object, str]], config: Config, together: int = 512) -> None:
         import ahocorasick
 
-        self.patterns: list[tuple[object, Pattern]] = []
+        self.patterns: list[tuple[object, str, Pattern]] = []
+        self.together = together
         where: dict[str, list[tuple[int, int]]] = {}
         for key, text in items:
             item = normalised(text)
@@ -103,7 +159,7 @@ class Matcher:
             pattern = Pattern(item, 0 if short else int(config.error_rate * len(item)), short)
             for start, piece in pieces(item, pattern.k):
                 where.setdefault(piece, []).append((len(self.patterns), start))
-            self.patterns.append((key, pattern))
+            self.patterns.append((key, item, pattern))
         self.automaton = ahocorasick.Automaton()
         for piece, places in where.items():
             self.automaton.add_word(piece, (len(piece), places))
@@ -112,76 +168,118 @@ class Matcher:
 
     def matches(self, text: str) -> list[tuple[object, int, int]]:
         """(item, distance, end in the normalised text) of each item that a text holds."""
-        if not self.patterns:
-            return []
-        text, tried, best = normalised(text), set(), {}
-        for end, (size, places) in self.automaton.iter(text):
-            for which, start in places:
-                pattern = self.patterns[which][1]
-                origin = end + 1 - size - start  # where the item would begin without an edit before the piece
-                if (which, origin) in tried or best.get(which, (1,))[0] == 0:
-                    continue
-                tried.add((which, origin))
-                if pattern.whole and not at_borders(text, origin, end + 1):
-                    continue
-                first = max(0, origin - pattern.k)
-                found = pattern.best(text[first : origin + pattern.size + pattern.k])
-                if found:
-                    best[which] = min(best.get(which, (pattern.k + 1, 0)), (found[0], first + found[1]))
-        return [(self.patterns[which][0], distance, end) for which, (distance, end) in best.items()]
-
-
-def item_blocks(items: DataFrame, config: Config, item_id: str, text: str) -> Iterator[list[tuple[object, str]]]:
-    """Items in blocks of about ``block_chars`` characters at most, dealt by the hash of their text."""
-    usable = items.where(F.col(text).isNotNull()).select(F.col(item_id).cast("bigint").alias("key"), F.col(text).cast("string").alias("text"))
+        return self.search([normalised(text)])[0]
+
+    def search(self, texts: list[str]) -> list[list[tuple[object, int, int]]]:
+        """``matches`` of each of many normalised texts."""
+        best: list[dict[int, tuple[int, int]]] = [{} for _ in texts]
+        waiting: list[tuple[int, int, int]] = []  # (text, pattern, first place of the window)
+
+        def verify() -> None:
+            waiting.sort(key=lambda e: self.patterns[e[1]][2].size)
+            for i in range(0, len(waiting), self.together):
+                part = [e for e in waiting[i : i + self.together] if best[e[0]].get(e[1], (1,))[0]]
+                chosen = [self.patterns[which][2] for _, which, _ in part]
+                found = distances(chosen, [texts[t][first : first + p.size + 2 * p.k] for (t, _, first), p in zip(part, chosen, strict=True)])
+                for (t, which, first), hit in zip(part, found, strict=True):
+                    if hit:
+                        best[t][which] = min(best[t].get(which, (hit[0], first + hit[1])), (hit[0], first + hit[1]))
+            waiting.clear()
+
+        for t, text in enumerate(texts if self.patterns else ()):
+            tried: set[tuple[int, int]] = set()
+            for end, (size, places) in self.automaton.iter(text):
+                for which, start in places:
+                    origin = end + 1 - size - start  # where the item would begin without an edit before the piece
+                    if (which, origin) in tried or best[t].get(which, (1,))[0] == 0:
+                        continue
+                    tried.add((which, origin))
+                    _, item, pattern = self.patterns[which]
+                    if origin >= 0 and text.startswith(item, origin):
+                        if not pattern.whole or at_borders(text, origin, origin + pattern.size):
+                            best[t][which] = (0, origin + pattern.size)
+                    elif pattern.k:
+                        waiting.append((t, which, max(0, origin - pattern.k)))
+            if len(waiting) >= 16 * self.together:
+                verify()
+        verify()
+        return [[(self.patterns[which][0], *found) for which, found in its.items()] for its in best]
+
+
+def item_passes(items: DataFrame, config: Config, item_id: str, text: str) -> Iterator[list[list[tuple[object, str]]]]:
+    """Items in blocks of about ``block_chars`` characters, the blocks of about ``pass_chars`` together; equal items share their search."""
+    usable = items.where(F.col(text).isNotNull()).select(F.col(item_id).alias("key"), F.col(text).cast("string").alias("text"))
     total = usable.agg(F.sum(F.length("text"))).first()[0] or 0
-    blocks = max(1, -(-2 * total // config.block_chars)) if total > config.block_chars else 1
-    for i in range(blocks):
-        block = usable if blocks == 1 else usable.where(F.pmod(F.xxhash64("text", F.col("key").cast("string")), F.lit(blocks)) == i)
-        yield sorted(((r["key"], r["text"]) for r in block.collect()), key=repr)
+    passes = max(1, -(-total // config.pass_chars))
+    for i in range(passes):
+        part = usable if passes == 1 else usable.where(F.pmod(F.xxhash64("text", F.col("key").cast("string")), F.lit(passes)) == i)
+        blocks, room = [[]], config.block_chars
+        for key, value in sorted(((r["key"], r["text"]) for r in part.toLocalIterator()), key=lambda e: (len(e[1]), repr(e))):
+            if blocks[-1] and room < len(value):
+                blocks.append([])
+                room = config.block_chars
+            blocks[-1].append((key, value))
+            room -= len(value)
+        yield blocks
+
+
+def _search(sent, config: Config) -> Callable[[pa.Array], list[list[tuple[object, int, int]]]]:
+    """A function from texts to what each of them holds of the blocks that were sent."""
+    matcher = lru_cache(maxsize=config.held)(lambda k: Matcher(sent.value[k], config))
+
+    def run(values: pa.Array) -> list[list[tuple[object, int, int]]]:
+        texts = [normalised(v) if v else "" for v in (x.as_py() for x in values)]
+        found: list[list[tuple[object, int, int]]] = [[] for _ in texts]
+        for k in range(len(sent.value)):
+            for its, more in zip(found, matcher(k).search(texts), strict=True):
+                its += more
+        return found
+
+    return run
+
+
+def _slices(batches: Iterator[pa.RecordBatch], column: int | str, most: int = 32 << 20) -> Iterator[pa.RecordBatch]:
+    """Slices of batches whose texts have about ``most`` bytes, a row at least."""
+    for batch in batches:
+        upto = np.cumsum(pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+        first = 0
+        while first < batch.num_rows:
+            last = max(first + 1, int(np.searchsorted(upto, (upto[first - 1] if first else 0) + most, "right")))
+            yield batch.slice(first, last - first)
+            first = last
 
 
 def find_leaks(docs: DataFrame, items: DataFrame, config: Config = Config(), doc_id: str = "doc_id", text: str = "text", item_id: str = "item_id", item_text: str = "text") -> DataFrame:
     """(doc_id, item_id, distance, end_char): each item that each document holds within its error budget."""
-    texts = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).cast("string").alias("text"))
-    schema = "doc_id bigint, item_id bigint, distance int, end_char int"
+    texts = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).cast("string").alias("text"))
+    made = T.StructType([T.StructField("doc_id", docs.schema[doc_id].dataType), T.StructField("item_id", items.schema[item_id].dataType), T.StructField("distance", T.IntegerType()), T.StructField("end_char", T.IntegerType())])
+    arrow = to_arrow_schema(made)
     found = None
-    for block in item_blocks(items, config, item_id, item_text):
-        sent = docs.sparkSession.sparkContext.broadcast(block)
-        part = texts.mapInArrow(_searcher(sent, config), schema)
-        found = part if found is None else found.unionByName(part)
-    return found
+    for blocks in item_passes(items, config, item_id, item_text):
+        sent = docs.sparkSession.sparkContext.broadcast(blocks)
 
+        def run(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
+            search = _search(sent, config)
+            for batch in _slices(batches, 1):
+                rows = [(i, *match) for i, its in enumerate(search(batch.column(1))) for match in its]
+                at, keys, distance, ends = zip(*rows, strict=True) if rows else ([],) * 4
+                yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(at, pa.int64())), *[pa.array(c, f.type) for c, f in zip((keys, distance, ends), list(arrow)[1:], strict=True)]], names=arrow.names)
 
-def _searcher(sent, config: Config):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        matcher = Matcher(sent.value, config)
-        for batch in batches:
-            at, rows, texts = [], [], batch.column(1)
-            for i in range(batch.num_rows):
-                value = texts[i].as_py()
-                for match in matcher.matches(value) if value else ():
-                    at.append(i)
-                    rows.append(match)
-            keys, distances, ends = ([r[k] for r in rows] for k in range(3))
-            ids = batch.column(0).take(pa.array(at, pa.int64()))
-            yield pa.RecordBatch.from_arrays([ids, pa.array(keys, pa.int64()), pa.array(distances, pa.int32()), pa.array(ends, pa.int32())], names=["doc_id", "item_id", "distance", "end_char"])
-
-    return run
+        part = texts.mapInArrow(run, made)
+        found = part if found is None else found.unionByName(part)
+    return found
 
 
-def keep(docs: DataFrame, items: DataFrame, config: Config = Config()) -> DataFrame:
+def keep(docs: DataFrame, items: DataFrame, config: Config = Config(), text: str = "text", item_id: str = "item_id", item_text: str = "text") -> DataFrame:
     """The rows of ``docs`` whose text holds no item, with their columns; a filter within the one pass over the texts."""
     result = docs
-    for block in item_blocks(items, config, "item_id", "text"):
-        sent = docs.sparkSession.sparkContext.broadcast(block)
+    for blocks in item_passes(items, config, item_id, item_text):
+        sent = docs.sparkSession.sparkContext.broadcast(blocks)
 
         def run(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
-            matcher = Matcher(sent.value, config)
-            for batch in batches:
-                texts = batch.column("text")
-                clean = [not (value and matcher.matches(value)) for value in (texts[i].as_py() for i in range(batch.num_rows))]
-                yield batch.filter(pa.array(clean, pa.bool_()))
+            search = _search(sent, config)
+            for batch in _slices(batches, text):
+                yield batch.filter(pa.array([not its for its in search(batch.column(text))], pa.bool_()))
 
         result = result.mapInArrow(run, docs.schema)
     return result
