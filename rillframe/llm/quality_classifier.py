@@ -4,14 +4,16 @@ A text is a bag of passages of ``passage`` bytes. A passage's hashed byte trigra
 attention (tanh and sigmoid branches, multiplied) weighs the passages; the weighted sum of the encodings gives the
 text's score. Only texts have labels; encoder and attention learn from those by back-propagation.
 
-The model is fitted on the driver on a bounded sample: ``per_class`` labelled texts of each class, ``bag`` passages of
-each. Application reads every byte of every text, in one pass without a shuffle and in blocks of bounded memory:
-a text's attention is summed over its blocks, so a text of any length is one bag. The sample has as many texts of one
-class as of the other; the score's odds are set back to those of all labels.
+The model is fitted on the driver on a bounded sample of labelled rows: of each class about ``per_class`` texts and about
+``train_bytes`` bytes, whichever is less, drawn by the hash of their ids among texts of at most ``longest_bytes``; each
+drawn text is a bag of all its passages. Application reads every byte of every text, in one pass without a shuffle and in
+blocks of bounded memory: a text's attention is summed over its blocks, so a text of any length is one bag. The sample
+has about as many texts of one class as of the other; the score's odds are set back to those of all labels.
 
 Defined cases: a null or empty text is a bag of one empty passage and gets that bag's score; without labelled rows
-every score is 0.5; contradicting labels of one id count by their mean (a tie as 1); equal texts get equal scores;
-rows and other columns of the input are kept.
+every score is 0.5; contradicting labels of one id count by their mean (a tie as 1); of several texts of one
+labelled id the first in order is learned from; equal texts get equal scores; rows and other columns of the input are
+kept, and made columns that clash get leading underscores.
 """
 
 from __future__ import annotations
@@ -27,7 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from rillframe.llm.common import crc_fold, unused
-from rillframe.llm.textmodels import Adam, sample_by_class
+from rillframe.llm.textmodels import Adam
 
 
 @dataclass(frozen=True)
@@ -37,8 +39,8 @@ class Config:
     hidden: int = 32
     attention: int = 16
     per_class: int = 2500
-    bag: int = 12
-    train_chars: int = 60_000
+    train_bytes: int = 8 << 20
+    longest_bytes: int = 1 << 20
     epochs: int = 12
     batch: int = 32
     rate: float = 0.004
@@ -100,10 +102,7 @@ def train(texts: list[bytes], labels: list[int], config: Config = Config()) -> G
     normal = lambda *shape, scale: rng.normal(0, scale, shape).astype(np.float32)
     params = {"w": normal(n, h, scale=1.0), "b": np.zeros(h, np.float32), "v": normal(h, k, scale=h**-0.5), "u": normal(h, k, scale=h**-0.5), "a": normal(k, scale=k**-0.5), "c": normal(h, scale=h**-0.5), "d": np.zeros(1, np.float32)}
     model = GatedAttention(config, params)
-    bags = []
-    for text in texts:
-        windows, _ = passages([text], config)
-        bags.append(windows if len(windows) <= config.bag else windows[np.sort(rng.choice(len(windows), config.bag, replace=False))])
+    bags = [passages([text], config)[0] for text in texts]
     y, adam = np.array(labels, np.float32), Adam(params, config.rate)
     for epoch in range(config.epochs):
         order = rng.permutation(len(bags))
@@ -132,14 +131,16 @@ def fit(docs: DataFrame, labels: DataFrame, config: Config = Config(), doc_id: s
     """Learned from labelled documents of folds 0, 1 and 3. None if there are none."""
     known = labels.where(F.col(doc_id).isNotNull() & F.col(quality).isNotNull() & (crc_fold(doc_id) != 2))
     known = known.groupBy(F.col(doc_id).alias("key")).agg((F.avg(quality) >= 0.5).cast("int").alias("label"))
-    drawn = sample_by_class(known, "label", "key", config.per_class, 2)
-    if not drawn:
+    size = F.octet_length(F.coalesce(F.col(text), F.lit("")))
+    texts = docs.where(size <= config.longest_bytes).select(F.col(doc_id).alias("key"), F.coalesce(F.col(text), F.lit("")).alias("text"), size.alias("size"))
+    sums = texts.select("key", "size").join(known, "key").groupBy("label").agg(F.count("*").alias("n"), F.sum("size").alias("size")).collect()  # a row for each class
+    if not sums:
         return None
-    spark, chars = docs.sparkSession, config.train_chars
-    wanted = spark.createDataFrame([(r["key"], r["label"]) for r in drawn], known.schema)  # bounded by the sample's size
-    start = F.pmod(F.xxhash64(F.col(doc_id).cast("string"), F.lit("start")), F.greatest(F.length(text) - chars, F.lit(0)) + 1) + 1
-    cut = F.coalesce(F.substring(F.col(text), start.cast("int"), F.lit(chars)), F.lit(""))
-    found = docs.join(F.broadcast(wanted), F.col(doc_id) == F.col("key")).select("key", "label", cut.alias("text")).groupBy("key").agg(F.min("label").alias("label"), F.min("text").alias("text")).collect()
+    rate = F.lit(0.0)
+    for r in sums:
+        rate = F.when(F.col("label") == r["label"], F.lit(min(1.0, config.per_class / r["n"], config.train_bytes / max(1, r["size"])))).otherwise(rate)
+    draw = F.pmod(F.xxhash64(F.col("key").cast("string"), F.lit("sample")), F.lit(1 << 30)) / float(1 << 30)
+    found = texts.join(known.where(draw < rate), "key").groupBy("key").agg(F.min("label").alias("label"), F.min("text").alias("text")).collect()
     found.sort(key=lambda r: str(r["key"]))
     if not found:
         return None

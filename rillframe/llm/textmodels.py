@@ -1,25 +1,8 @@
-"""What the two trained models share: folds, a bounded sample of labelled texts, and Adam steps in numpy."""
+"""What the two trained models share: Adam steps and softmax in numpy."""
 
 from __future__ import annotations
 
 import numpy as np
-from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
-
-
-def sample_by_class(rows: DataFrame, label: str, key: str, per_class: int, max_classes: int) -> list:
-    """About ``per_class`` rows of each of the ``max_classes`` most frequent labels, the same ones on every run.
-
-    Rows are drawn by the hash of their key with a chance that follows from the label's count, so no label's rows
-    meet in one task; what reaches the driver is at most 1.5 * per_class * max_classes rows plus chance.
-    """
-    counts = rows.where(F.col(label).isNotNull()).groupBy(label).count().orderBy(F.desc("count"), label).limit(max_classes).collect()
-    draw = F.pmod(F.xxhash64(F.col(key).cast("string"), F.lit("sample")), F.lit(1 << 30)) / float(1 << 30)
-    rate = F.lit(0.0)
-    for value, n in counts:
-        rate = F.when(F.col(label) == F.lit(value), F.lit(min(1.0, per_class / n))).otherwise(rate)
-    chosen = rows.where(F.col(label).isNotNull() & (draw < rate)) if counts else rows.limit(0)
-    return sorted(chosen.collect(), key=lambda r: (str(r[key]), str(r)))
 
 
 class Adam:
