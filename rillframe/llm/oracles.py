@@ -27,16 +27,23 @@ hist AS (
   SELECT doc_id, lang, chars, n_words, unnest(['lower', 'space', 'upper', 'digit', 'symbol', 'foreign', 'other']) AS c,
     unnest([lower_n, chars - word_chars, upper, digit, symbol, "foreign", chars - lower_n - (chars - word_chars) - upper - digit - symbol - "foreign"]) AS n
   FROM f),
-langs AS (SELECT DISTINCT lang FROM f WHERE lang IS NOT NULL),
-ref_c AS (SELECT lang, c, n / sum(n) OVER (PARTITION BY lang) AS q FROM (SELECT lang, c, sum(n) AS n FROM hist WHERE chars >= {_RULE.min_chars_judged} GROUP BY lang, c)),
-ref_n AS (SELECT lang, sum(n_words) AS n FROM f WHERE n_words >= {_RULE.min_words_judged} GROUP BY lang),
-ref_w AS (SELECT f.lang, word, sum(h.n) / any_value(r.n) AS q FROM found h JOIN f USING (doc_id) JOIN ref_n r ON r.lang = f.lang WHERE n_words >= {_RULE.min_words_judged} GROUP BY f.lang, word),
+ref_c AS (SELECT key, c, n / sum(n) OVER (PARTITION BY key) AS q FROM (
+  SELECT '=' || lang AS key, c, sum(n) AS n FROM hist WHERE chars >= {_RULE.min_chars_judged} AND lang IS NOT NULL GROUP BY lang, c
+  UNION ALL SELECT 'all', c, sum(n) FROM hist WHERE chars >= {_RULE.min_chars_judged} GROUP BY c)),
+ref_n AS (
+  SELECT '=' || lang AS key, sum(n_words) AS n FROM f WHERE n_words >= {_RULE.min_words_judged} AND lang IS NOT NULL GROUP BY lang
+  UNION ALL SELECT 'all', sum(n_words) FROM f WHERE n_words >= {_RULE.min_words_judged} HAVING count(*) > 0),
+usable AS (SELECT DISTINCT key FROM ref_c JOIN ref_n USING (key)),
+keyed AS (SELECT doc_id, n_words, CASE WHEN '=' || lang IN (SELECT key FROM usable) THEN '=' || lang WHEN 'all' IN (SELECT key FROM usable) THEN 'all' END AS key FROM f),
+said AS (SELECT lang, word, h.n FROM found h JOIN f USING (doc_id) WHERE n_words >= {_RULE.min_words_judged}),
+ref_w AS (
+  SELECT key, word, sum(s.n) / any_value(ref_n.n) AS q FROM (SELECT '=' || lang AS key, word, n FROM said WHERE lang IS NOT NULL UNION ALL SELECT 'all', word, n FROM said) s JOIN ref_n USING (key) GROUP BY key, word),
 d_char AS (
   SELECT doc_id, sqrt(greatest(0, sum(CASE WHEN p > 0 THEN p * log2(2 * p / (p + q)) / 2 ELSE 0 END + CASE WHEN q > 0 THEN q * log2(2 * q / (p + q)) / 2 ELSE 0 END))) AS x
-  FROM (SELECT doc_id, n / chars::DOUBLE AS p, q FROM hist JOIN ref_c USING (lang, c) WHERE chars >= {_RULE.min_chars_judged}) GROUP BY doc_id),
+  FROM (SELECT doc_id, h.n / chars::DOUBLE AS p, q FROM hist h JOIN keyed USING (doc_id) JOIN ref_c USING (key, c) WHERE chars >= {_RULE.min_chars_judged}) GROUP BY doc_id),
 pq AS (
-  SELECT f.doc_id, r.word, coalesce(h.n, 0) / n_words::DOUBLE AS p, r.q FROM f JOIN ref_w r ON r.lang = f.lang LEFT JOIN found h ON h.doc_id = f.doc_id AND h.word = r.word WHERE n_words >= {_RULE.min_words_judged}
-  UNION ALL SELECT f.doc_id, h.word, h.n / n_words::DOUBLE, 0 FROM f JOIN found h USING (doc_id) WHERE n_words >= {_RULE.min_words_judged} AND NOT EXISTS (SELECT 1 FROM ref_w r WHERE r.lang = f.lang AND r.word = h.word)),
+  SELECT f.doc_id, r.word, coalesce(h.n, 0) / n_words::DOUBLE AS p, r.q FROM keyed f JOIN ref_w r ON r.key = f.key LEFT JOIN found h ON h.doc_id = f.doc_id AND h.word = r.word WHERE n_words >= {_RULE.min_words_judged}
+  UNION ALL SELECT f.doc_id, h.word, h.n / n_words::DOUBLE, 0 FROM keyed f JOIN found h USING (doc_id) WHERE n_words >= {_RULE.min_words_judged} AND f.key IS NOT NULL AND NOT EXISTS (SELECT 1 FROM ref_w r WHERE r.key = f.key AND r.word = h.word)),
 parts AS (SELECT doc_id, p, q FROM pq UNION ALL SELECT doc_id, greatest(0, 1 - sum(p)), greatest(0, 1 - sum(q)) FROM pq GROUP BY doc_id),
 d_word AS (SELECT doc_id, sqrt(greatest(0, sum(CASE WHEN p > 0 THEN p * log2(2 * p / (p + q)) / 2 ELSE 0 END + CASE WHEN q > 0 THEN q * log2(2 * q / (p + q)) / 2 ELSE 0 END))) AS x FROM parts GROUP BY doc_id),
 judged AS (

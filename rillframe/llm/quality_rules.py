@@ -5,10 +5,10 @@ character-class histogram, and that of its common-word histogram. References are
 long enough; short texts are guarded: below ``min_chars`` or ``min_words`` the distance is null and rejects nothing.
 
 One pass over the text stages each row with its histograms; references are summed from those (a shuffle of a few
-histogram rows) and joined to them by broadcast, at most ``max_languages`` rows.
+histogram rows), a row for each language, and joined to them; that of all texts is a constant of the plan.
 
-Defined cases: null or empty text has no words, fails the base rule and is rejected; a null or rare language takes
-the reference of all texts; equal rows get equal verdicts; an empty table gives an empty result; other columns of
+Defined cases: null or empty text has no words, fails the base rule and is rejected; a null language, or one
+without a text that is long enough, takes the reference of all texts; equal rows get equal verdicts; an empty table gives an empty result; other columns of
 the input pass through, and a clashing name keeps the input's column (the feature gets leading underscores).
 """
 
@@ -46,7 +46,6 @@ class Divergence:
     min_words_judged: int = 80
     max_char_distance: float = 0.3
     max_word_distance: float = 0.28
-    max_languages: int = 200
 
 
 def words_of(text: Column) -> Column:
@@ -133,7 +132,6 @@ def fit_references(measured: DataFrame, rule: Divergence = Divergence()) -> Data
     """From (lang, h: what ``histograms`` gives): one row per language and one with a null language for all texts: chars array<double>, words map<string,double>.
 
     Sums over every text that the guards let through, summed before they are shuffled.
-    Languages beyond the ``max_languages`` most frequent have no row; their texts are held against the row of all.
     """
     entry = lambda kind, key, n: F.struct(F.lit(kind).alias("kind"), key.cast("string").alias("key"), n.cast("long").alias("n"))
 
@@ -141,14 +139,12 @@ def fit_references(measured: DataFrame, rule: Divergence = Divergence()) -> Data
         none = F.array().cast("array<struct<kind:string,key:string,n:bigint>>")
         chars = F.when(total(h["chars"]) >= rule.min_chars_judged, F.transform(h["chars"], lambda n, i: entry("char", i, n))).otherwise(none)
         words = F.when(h["n_words"] >= rule.min_words_judged, F.concat(F.transform(h["hits"], lambda e: entry("word", e["word"], e["n"])), F.array(entry("words", F.lit(""), h["n_words"])))).otherwise(none)
-        return F.concat(chars, words, F.array(entry("texts", F.lit(""), F.lit(1))))
+        return F.concat(chars, words)
 
     rows = measured.select(F.col("lang").cast("string").alias("lang"), F.explode(let(F.col("h"), entries)).alias("e"))
     sums = staged(rows.groupBy("lang", F.col("e.kind").alias("kind"), F.col("e.key").alias("key")).agg(F.sum("e.n").alias("n")), "references")
     pooled = sums.groupBy("kind", "key").agg(F.sum("n").alias("n")).select(F.lit(None).cast("string").alias("lang"), "kind", "key", "n")
-    frequent = sums.where((F.col("kind") == "texts") & F.col("lang").isNotNull()).orderBy(F.desc("n"), "lang").limit(rule.max_languages).select("lang")
-    own = sums.join(F.broadcast(frequent), "lang", "left_semi")  # at most max_languages rows
-    per = own.unionByName(pooled).groupBy("lang").agg(*[F.sort_array(F.collect_list(F.when(F.col("kind") == k, F.struct("key", "n")))).alias(k) for k in ("char", "word")], F.sum(F.when(F.col("kind") == "words", F.col("n"))).alias("words"))
+    per = sums.where(F.col("lang").isNotNull()).unionByName(pooled).groupBy("lang").agg(*[F.sort_array(F.collect_list(F.when(F.col("kind") == k, F.struct("key", "n")))).alias(k) for k in ("char", "word")], F.sum(F.when(F.col("kind") == "words", F.col("n"))).alias("words"))
     counts = F.transform(F.sequence(F.lit(0), F.lit(len(ORDER) - 1)), lambda i: F.element_at(F.transform(F.filter("char", lambda e: e["key"] == i.cast("string")), lambda e: e["n"]), 1))
     return staged(per.where((F.size("char") > 0) & (F.col("words") > 0)).select("lang", let(counts, lambda c: F.transform(c, lambda n: n / total(c))).alias("chars"), F.map_from_entries(F.transform("word", lambda e: F.struct(e["key"], e["n"] / F.col("words")))).alias("words")), "references")
 
@@ -194,13 +190,14 @@ def judge(docs: DataFrame, rule: Divergence = Divergence(), references: DataFram
     rows = docs.withColumns({seen: histograms(F.col(text), repeats=True), lines: duplicate_lines(F.coalesce(text, F.lit(""))).cast("long")})
     rows = staged(rows.select(*[F.col(f"`{c}`") for c in own_columns], seen, lines), "measured")  # one pass over the text serves both steps
     references = fit_references(rows.select(F.col(lang).alias("lang"), F.col(seen).alias("h")), rule) if references is None else references
-    known = [r["lang"] for r in references.where(F.col("lang").isNotNull()).select("lang").collect()]  # at most max_languages
-    refs = references.select(F.coalesce(F.concat(F.lit("="), "lang"), F.lit("all")).alias(key), F.col("chars").alias(chars), F.col("words").alias(words))
-    spoken = F.col(lang).cast("string")
-    rows = rows.withColumn(key0, F.when(spoken.isin(known), F.concat(F.lit("="), spoken)).otherwise("all")).join(F.broadcast(refs), F.col(key0) == F.col(key), "left")
+    pooled = references.where(F.col("lang").isNull()).first()
+    all_chars = F.array(*map(F.lit, pooled["chars"])) if pooled else F.lit(None).cast("array<double>")
+    all_words = F.create_map(*[F.lit(x) for e in sorted(pooled["words"].items()) for x in e]).cast("map<string,double>") if pooled else F.lit(None).cast("map<string,double>")
+    refs = references.where(F.col("lang").isNotNull()).select(F.col("lang").alias(key), F.col("chars").alias(chars), F.col("words").alias(words))
+    rows = rows.withColumn(key0, F.col(lang).cast("string")).join(refs, F.col(key0) == F.col(key), "left")
     h = F.col(seen)
-    d_char = F.when(total(h["chars"]) >= rule.min_chars_judged, char_distance(h["chars"], F.col(chars)))
-    d_word = F.when(h["n_words"] >= rule.min_words_judged, word_distance(h, F.col(words)))
+    d_char = F.when(total(h["chars"]) >= rule.min_chars_judged, char_distance(h["chars"], F.coalesce(F.col(chars), all_chars)))
+    d_word = F.when(h["n_words"] >= rule.min_words_judged, word_distance(h, F.coalesce(F.col(words), all_words)))
     failed = (h["n_words"] < rule.min_words) | (100 * h["n_repeat_words"] > rule.max_repeat_percent * h["n_words"])
     made = {
         "n_words": h["n_words"], "word_chars": h["word_chars"], "n_symbols": h["chars"][ORDER.index("symbol")], "n_dup_lines": F.col(lines),
