@@ -25,6 +25,12 @@ def video_path(root: str, chunk: Column, view: str, episode: Column) -> Column:
     return F.format_string(f"{root}/videos/chunk-%s/{view}/episode_%06d.mp4", chunk, episode)
 
 
+def videos_root(front: Column, wrist: Column, parquet: Column, chunk: Column) -> Column:
+    """The folder of a chunk's videos: two folders above a video, else beside the data folder of the episode's file."""
+    above = lambda path, levels: F.regexp_replace(path, f"(/[^/]+){{{levels}}}$", "")
+    return F.coalesce(above(front, 2), above(wrist, 2), F.concat(above(parquet, 3), F.lit("/videos/chunk-"), chunk))
+
+
 def utc_now() -> str:
     return datetime.now(timezone.utc).isoformat().replace("+00:00", "Z")
 
@@ -99,11 +105,6 @@ def issues(*rules: tuple[Column, str, Column | None]) -> Column:
     return F.filter(F.array(*made), lambda e: e.isNotNull())
 
 
-def head_tail_sha(content: Column, n: int = S.SAMPLE_BYTES) -> Column:
-    """sha256 of the first and last n bytes; of all where there are n at most."""
-    return F.when(F.octet_length(content) > n, F.sha2(F.concat(F.substring(content, 1, n), F.substring(content, -n, n)), 256)).otherwise(F.sha2(content, 256))
-
-
 def rounded(value: Column, digits: int = 6) -> Column:
     """Rounded, without a negative zero."""
     return F.round(value, digits) + F.lit(0.0)

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rillframe.functions.expressions import zscore
-from rillframe.operators.ordered import first_of_duplicates, numbered
+from rillframe.operators.ordered import first_of_duplicates, numbered, unused
 
 
 def cast_to(df: DataFrame, types: dict[str, str]) -> DataFrame:
@@ -24,8 +24,9 @@ def exact_width(df: DataFrame, vectors: list[str], width: int) -> DataFrame:
 
 def dedupe_and_number(df: DataFrame, keys: list[str], order: str, tie: str) -> DataFrame:
     """The first row (by ``tie``) of each order value, renumbered from 0 in order; a null order value comes first."""
-    rows = first_of_duplicates(df, keys, order, tie).withColumnRenamed(order, "_order")
-    return numbered(rows, keys, "_order", order).select(*[F.col(f"`{c}`") for c in df.columns])
+    (old,) = unused(df, "order")
+    rows = first_of_duplicates(df, keys, order, tie).withColumnRenamed(order, old)
+    return numbered(rows, keys, old, order).select(*[F.col(f"`{c}`") for c in df.columns])
 
 
 def complete(df: DataFrame, not_null: list[str], not_nan: list[str]) -> DataFrame:

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from rillframe import schemas as S
 from rillframe import sinks
-from rillframe.functions.expressions import chunk_id, episode_index, initial_status, issues, utc_now
+from rillframe.functions.expressions import chunk_id, episode_index, initial_status, issues, utc_now, videos_root
 from rillframe.functions.hashing import SPLITS, check_fractions, split_of, unit_hash
 from rillframe.operators import align, manifest
 from rillframe.operators.moments import reduce_moments, usable
@@ -67,7 +67,7 @@ def discover(spark: SparkSession, root: str, manifest_path: str, since: datetime
     a narrow run reports nothing as deleted that it didn't look for.
     """
     current, videos = current_manifest(spark, root, since, only_chunks, full_hash)
-    previous = spark.read.schema(S.MANIFEST).parquet(manifest_path) if matches(spark, manifest_path) else None
+    previous = spark.read.schema(S.MANIFEST).parquet(manifest_path) if matches(spark, sinks.recovered(spark, manifest_path)) else None
     carried = None
     if previous is not None:
         inside = F.lit(True) if only_chunks is None else F.col("chunk").isin(only_chunks)
@@ -159,8 +159,11 @@ def validate(spark: SparkSession, episodes: DataFrame, meta_path: str | None = N
     views = None
     if not skip_video:
         views = {"front": "front", "wrist": "wrist"}
-        for name, uri in zip(views, ("video_front_uri", "video_wrist_uri"), strict=True):
-            seen = probes(rows.where(F.col(uri).isNotNull()).select(F.col(uri).alias("path")), probe)
+        root = videos_root(F.col("video_front_uri"), F.col("video_wrist_uri"), F.col("parquet_uri"), F.col("chunk"))
+        for name, view, known in zip(views, S.VIEWS, ("video_front_uri", "video_wrist_uri"), strict=True):
+            uri = f"{name}_uri"  # where the manifest has the video, else where it belongs
+            rows = rows.withColumn(uri, F.coalesce(F.col(known), F.concat(root, F.format_string(f"/{view}/episode_%06d.mp4", "episode_index"))))
+            seen = probes(rows.where(F.col(uri).isNotNull()).select(F.col(uri).alias("path")).distinct(), probe)
             rate = F.coalesce(F.when(F.col("avg_fps") != 0, F.col("avg_fps")), "r_fps")
             seen = seen.select(F.col("path").alias(uri), F.col("nb_frames").alias(f"{name}_nb_frames"), rate.alias(f"{name}_fps"), F.lit(True).alias(f"{name}_hit")).dropDuplicates([uri])
             rows = rows.join(seen, uri, "left").withColumns({f"{name}_probed": F.coalesce(f"{name}_hit", F.lit(False)), f"{name}_path": F.col(uri)})
@@ -177,7 +180,7 @@ def run_validate(spark: SparkSession, manifest_path: str, meta_dir: str, out_dir
     """Validate actionable episodes and merge the results by key into those of earlier runs."""
     episodes = manifest.actionable(spark.read.schema(S.MANIFEST).parquet(manifest_path))
     results = validate(spark, episodes, f"{meta_dir}/episodes.jsonl", fps, tolerance, skip_video, probe)
-    table = f"{out_dir}/episodes.parquet"
+    table = sinks.recovered(spark, f"{out_dir}/episodes.parquet")
     if matches(spark, table):
         gone = spark.read.schema(S.MANIFEST).parquet(manifest_path).where(F.col("status") == S.DELETED).select(*S.KEY)
         earlier = spark.read.schema(S.VALIDATION).parquet(table).join(episodes.select(*S.KEY), S.KEY, "left_anti").join(gone, S.KEY, "left_anti")
@@ -211,7 +214,7 @@ def global_stats(spark: SparkSession, stats_path: str, features: list[str], ids_
 
 def align_frames(frames: DataFrame, keys: list[str], tie: str, stats: dict | None = None, validated: DataFrame | None = None) -> DataFrame:
     """Cleaned frames with keys. Numbering comes before bad rows go, so their numbers stay unused."""
-    rows = frames if validated is None else frames.join(F.broadcast(validated), "episode_index", "left_semi")
+    rows = frames if validated is None else frames.join(validated, "episode_index", "left_semi")  # Spark broadcasts the ids where they are few
     types = {"timestamp": "double", **dict.fromkeys(("frame_index", "episode_index", "index", "task_index"), "bigint"), **dict.fromkeys(S.VECTORS, "array<float>")}
     rows = align.exact_width(align.cast_to(rows, types), list(S.VECTORS), S.WIDTH)
     rows = align.dedupe_and_number(rows, keys, "frame_index", tie).drop(tie)
@@ -268,6 +271,8 @@ def split_counts(index: DataFrame) -> DataFrame:
 def run_materialize(spark: SparkSession, norm_dir: str, out: str, seed: int = 42, train: float = 0.8, val: float = 0.1, test: float = 0.1, videos_root: str | None = None, views: tuple[str, ...] = S.VIEWS, video_chunk: str | None = None, link_videos: str = "symlink") -> dict:
     """Write split=/chunk=/episode_index= partitions, the index and a manifest; link videos, of each episode's own chunk by default."""
     schema = spark.createDataFrame([], S.ALIGNED + ", chunk string, file_episode bigint").schema
+    if not matches(spark, f"{norm_dir}/chunk=*/file_episode=*/*.parquet"):
+        raise FileNotFoundError(f"no episodes under {norm_dir}")
     frames = spark.read.schema(schema).parquet(norm_dir)
     episodes = assign_splits(frames.select("chunk", F.col("file_episode").alias("episode_index")).distinct(), seed, train, val, test)
     rows = frames.drop("episode_index").withColumnRenamed("file_episode", "episode_index").join(episodes, S.KEY)

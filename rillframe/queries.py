@@ -2,18 +2,22 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rillframe.functions.expressions import arm, diffed_status, float_list, frame_count, gripper, head_tail_sha, initial_status, issues, rate, rounded, zscore
+from rillframe.functions.expressions import arm, diffed_status, float_list, frame_count, gripper, initial_status, issues, rate, rounded, zscore
 from rillframe.functions.hashing import sha_unit, split_of, unit_hash
 from rillframe.operators import align, manifest
 from rillframe.operators.moments import reduce_moments, usable
 from rillframe.operators.ordered import ordering_summary
 from rillframe.plans.steps import split_counts
+from rillframe.sources.files import scratch
 from rillframe.sources.jsonl import parse_ids
+from rillframe.sources.workers import fingerprint, remove, write_bytes
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -49,13 +53,13 @@ def _ordering(df: DataFrame, key: str, order: str, value: str, width: int) -> Da
 
 @query(_ordering_sql("events", "user_id", "event_id", "ts"))
 def ordering_check(spark, sf_dir):
-    return _ordering(read(spark, sf_dir, "events"), "user_id", "event_id", "ts", 1_000_000)
+    return _ordering(read(spark, sf_dir, "events"), "user_id", "event_id", "ts", 2_000)
 
 
 @query(_ordering_sql("orders", "o_custkey", "o_orderkey", "o_orderdate"))
 def ordering_check_orders(spark, sf_dir):
     """With blocks that are narrow enough to cut customers' orders apart."""
-    return _ordering(read(spark, sf_dir, "orders"), "o_custkey", "o_orderkey", "o_orderdate", 1_000_000)
+    return _ordering(read(spark, sf_dir, "orders"), "o_custkey", "o_orderkey", "o_orderdate", 1_000)
 
 
 @query("""
@@ -89,9 +93,9 @@ SELECT vec_id, dim, round(((x - mu) / CASE WHEN sd = 0 THEN 1 ELSE sd END)::FLOA
 def vector_zscore(spark, sf_dir):
     rows = read(spark, sf_dir, "embeddings")
     dims = rows.select(F.posexplode("embedding").alias("dim", "x")).groupBy("dim").agg(F.avg(F.col("x").cast("double")).alias("mu"), F.stddev_pop(F.col("x").cast("double")).alias("sd"))
-    stats = dims.groupBy().agg(F.array_sort(F.collect_list(F.struct("dim", "mu", "sd"))).alias("s"))  # a row per dimension
-    joined = rows.join(F.broadcast(stats))  # one row
-    done = joined.select("vec_id", F.posexplode(zscore(F.col("embedding"), F.col("s.mu"), F.col("s.sd"))).alias("dim", "z"))
+    found = sorted(dims.collect())  # a row per dimension
+    mu, sd = (F.array(*[F.lit(r[k]) for r in found]) for k in ("mu", "sd"))
+    done = rows.select("vec_id", F.posexplode(zscore(F.col("embedding"), mu, sd)).alias("dim", "z"))
     return done.select("vec_id", "dim", rounded(F.col("z").cast("double"), 4).alias("z"))
 
 
@@ -116,10 +120,23 @@ def split_counts_orders(spark, sf_dir):
     return split_counts(hash_split(spark, sf_dir))
 
 
-@query("SELECT doc_id, sha256(text) AS sha, sha256(CASE WHEN strlen(text) > 64 THEN encode(text)[1:64] || encode(text)[strlen(text)-63:strlen(text)] ELSE encode(text) END) AS sampled FROM documents")
+@query("SELECT doc_id, sha256(text) AS sha, sha256(CASE WHEN strlen(text) > 64 THEN encode(text)[1:64] || encode(text)[strlen(text)-63:strlen(text)] ELSE encode(text) END) AS sampled FROM documents WHERE text IS NOT NULL")
 def content_fingerprint(spark, sf_dir):
-    content = F.col("text").cast("binary")
-    return read(spark, sf_dir, "documents").select("doc_id", F.sha2(content, 256).alias("sha"), head_tail_sha(content, 64).alias("sampled"))
+    """Of a file for each text: of all its bytes, and of the first and last 64, by the fingerprint that discovery takes."""
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    folder = f"{scratch(spark)}/rillframe-files-{uuid.uuid4().hex}"
+
+    def run(batches):
+        for batch in batches:
+            rows = []
+            for key, text in zip(batch["doc_id"], batch["text"], strict=True):
+                uri = f"{folder}/{key}"
+                write_bytes(uri, text.encode())
+                rows.append((key, fingerprint(uri, full=True)["sha"], fingerprint(uri, sample=64)["sha"]))
+                remove(uri)
+            yield pd.DataFrame(rows, columns=["doc_id", "sha", "sampled"])
+
+    return docs.where(F.col("text").isNotNull()).mapInPandas(run, "doc_id bigint, sha string, sampled string")
 
 
 _SNAPSHOTS = """

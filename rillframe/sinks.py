@@ -13,19 +13,48 @@ from pyspark.sql import functions as F
 
 from rillframe.sources.files import hadoop_path
 
+ASIDE = ".before"  # what a table is called while another takes its place
+
 LINKS = ("symlink", "hardlink", "copy", "manifest-only")
 
 
 def replace_table(df: DataFrame, path: str, partition_by: list[str] = (), compression: str = "zstd") -> None:
-    """Write beside the target, then put it in the target's place; the target may be an input of ``df``."""
-    spark, target = df.sparkSession, path.rstrip("/")
-    beside = f"{target}.tmp-{uuid.uuid4().hex}"
+    """Write beside the target, then put it in the target's place; the target may be an input of ``df``.
+
+    A folder can't replace another in one step, so the old table is moved aside, the new one in, and the old one deleted.
+    Whatever step fails, a whole table is left: at the target, or else the old one aside, which ``recovered`` moves back.
+    """
+    spark, target = df.sparkSession, recovered(df.sparkSession, path)
+    beside, aside = f"{target}.tmp-{uuid.uuid4().hex}", f"{target}{ASIDE}"
     df.write.option("compression", compression).partitionBy(*partition_by).parquet(beside) if partition_by else df.write.option("compression", compression).parquet(beside)
-    fs, new = hadoop_path(spark, beside)
-    _, old = hadoop_path(spark, target)
-    fs.delete(old, True)
-    if not fs.rename(new, old):
-        raise OSError(f"can't move {beside} to {target}")
+    fs, old = hadoop_path(spark, target)
+    if fs.exists(old):
+        _move(spark, target, aside)
+    try:
+        _move(spark, beside, target)
+    except Exception:
+        recovered(spark, target)
+        raise
+    fs.delete(hadoop_path(spark, aside)[1], True)
+
+
+def recovered(spark: SparkSession, path: str) -> str:
+    """The path of a table, after a replacement that was broken off is undone: the old table comes back if the new one isn't there."""
+    target = path.rstrip("/")
+    fs, there = hadoop_path(spark, target)
+    _, aside = hadoop_path(spark, f"{target}{ASIDE}")
+    if fs.exists(aside):
+        if fs.exists(there):
+            fs.delete(aside, True)
+        else:
+            _move(spark, f"{target}{ASIDE}", target)
+    return target
+
+
+def _move(spark: SparkSession, source: str, target: str) -> None:
+    fs, where = hadoop_path(spark, source)
+    if not fs.rename(where, hadoop_path(spark, target)[1]):
+        raise OSError(f"can't move {source} to {target}")
 
 
 def write_json_lines(df: DataFrame, path: str) -> None:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import tempfile
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,6 +17,14 @@ def hadoop_path(spark: SparkSession, path: str):
     return found.getFileSystem(spark._jsc.hadoopConfiguration()), found
 
 
+def scratch(spark: SparkSession) -> str:
+    """The shared folder that spark.checkpoint.dir names, else a temporary one in local runs."""
+    found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    if not found and not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    return (found or f"file://{tempfile.gettempdir()}").rstrip("/")
+
+
 def matches(spark: SparkSession, pattern: str) -> bool:
     fs, path = hadoop_path(spark, pattern)
     return bool(fs.globStatus(path))

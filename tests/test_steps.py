@@ -14,7 +14,7 @@ from rillframe import schemas as S
 from rillframe import sinks
 from rillframe.cli import main
 from rillframe.plans import steps
-from rillframe.sources.workers import fingerprint, unstable
+from rillframe.sources.workers import ffprobe, fingerprint, unstable
 from rillframe.streaming.trigger import on_new_episodes
 
 
@@ -167,3 +167,64 @@ def test_trigger_sees_new_files_once(spark, tmp_path):
     write(root, "000", "episode_000001", table(), views=())
     on_new_episodes(spark, str(root), str(tmp_path / "cp"), lambda df, i: seen.extend(r["path"] for r in df.collect())).awaitTermination()
     assert [os.path.basename(p) for p in seen] == ["episode_000000.parquet", "episode_000001.parquet"]
+
+
+def test_replacement_that_is_broken_off_keeps_a_table(spark, tmp_path, monkeypatch):
+    target = str(tmp_path / "t.parquet")
+    sinks.replace_table(spark.range(3), target)
+    real, calls = sinks._move, []
+
+    def failing(session, source, to):
+        calls.append(source)
+        if ".tmp-" in source:
+            raise OSError("no")
+        real(session, source, to)
+
+    monkeypatch.setattr(sinks, "_move", failing)
+    with pytest.raises(OSError):
+        sinks.replace_table(spark.range(5), target)
+    assert spark.read.parquet(target).count() == 3 and len(calls) == 3
+    monkeypatch.undo()
+    os.rename(target, target + sinks.ASIDE)  # as after a crash between the two moves
+    assert spark.read.parquet(sinks.recovered(spark, target)).count() == 3
+    sinks.replace_table(spark.range(7), target)
+    assert spark.read.parquet(target).count() == 7 and sorted(p for p in os.listdir(tmp_path) if not p.endswith(".crc")) == ["t.parquet"] + [p for p in os.listdir(tmp_path) if ".tmp-" in p]
+
+
+def test_videos_are_looked_for_where_they_belong(spark, tmp_path):
+    root = tmp_path / "set"
+    write(root, "000", "episode_000000", table())
+    write(root, "000", "episode_000001", table(episode=1), views=())
+    rows = spark.createDataFrame([("000", e, f"file:{root}/data/chunk-000/episode_{e:06d}.parquet", None, None) for e in (0, 1)], "chunk string, episode_index bigint, parquet_uri string, video_front_uri string, video_wrist_uri string")
+    seen = {"nb_frames": "5", "r_fps": "60/2", "avg_fps": "0/0", "duration": None}
+    found = {r["episode_index"]: {i["code"]: i["detail"] for i in r["issues"]} for r in steps.validate(spark, rows, probe=lambda path: seen).collect()}
+    assert found[0] == {} and set(found[1]) == {"front_video_missing", "wrist_video_missing"}
+    assert found[1]["front_video_missing"].endswith("/set/videos/chunk-000/observation.images.front/episode_000001.mp4")
+
+
+def test_ffprobe_reads_what_the_program_says(tmp_path, monkeypatch):
+    program = tmp_path / "ffprobe"
+    program.write_text('#!/bin/sh\ncase "$*" in *bad*) exit 1;; esac\nprintf "r_frame_rate=30/1\\navg_frame_rate=2997/100\\nduration=N/A\\nnb_frames=12\\n"\n')
+    program.chmod(0o755)
+    monkeypatch.setenv("PATH", f"{tmp_path}:{os.environ['PATH']}")
+    assert ffprobe("file:/x.mp4") == {"nb_frames": "12", "r_fps": "30/1", "avg_fps": "2997/100", "duration": "N/A"}
+    assert ffprobe("/bad.mp4") is None
+    monkeypatch.setenv("PATH", "/nowhere")
+    assert ffprobe("/x.mp4") is None
+
+
+def test_discover_and_validate_by_command_line(spark, dataset, tmp_path, capsys):
+    out, checked = str(tmp_path / "m.parquet"), str(tmp_path / "v")
+    assert main(["discover", "--data-root", str(dataset), "--manifest", out, "--stdout"], spark) == 0
+    lines = [json.loads(x) for x in capsys.readouterr().out.splitlines() if x.startswith("{")]
+    assert len(lines) == 15 and len(lines[0]) == 13
+    assert main(["discover", "--data-root", str(dataset), "--manifest", out, "--only-chunks", "chunk-001", "--all"], spark) == 0
+    assert len([x for x in capsys.readouterr().out.splitlines() if "\t" in x]) == 15
+    assert main(["validate", "--manifest", out, "--meta-dir", str(dataset / "meta"), "--out", checked, "--skip-video", "--tolerance", "2"], spark) == 0
+    assert "'total': 14" in capsys.readouterr().out.replace('"', "'")
+
+
+def test_materialize_without_episodes_raises(spark, tmp_path):
+    (tmp_path / "none").mkdir()
+    with pytest.raises(FileNotFoundError):
+        steps.run_materialize(spark, str(tmp_path / "none"), str(tmp_path / "out"))
