@@ -25,7 +25,7 @@ def block_list(pages: DataFrame) -> DataFrame:
     junk = F.filter(url_filter.parents(F.col("host")), lambda d: F.arrays_overlap(F.split(F.substring_index(d, ".", 1), "-"), F.array(*map(F.lit, JUNK))))
     domains = pages.select(host.alias("host")).distinct().select(F.explode(junk).alias("host"))
     noisy = reduce(lambda a, b: a & b, [F.contains("html", F.lit(x)) for x in NOISE])
-    return domains.unionByName(pages.where(noisy & (host != "") & (path != "")).select(F.concat(host, path).alias("host"))).distinct()
+    return domains.unionByName(pages.where(noisy & (host != "") & (path != "")).select(F.concat(host, path).alias("host")))
 
 
 def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:

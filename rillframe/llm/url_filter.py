@@ -103,15 +103,20 @@ def level_bits(n_keys: int, rate: float) -> int:
     return 64 * ceil(n_keys * hashes_of(rate) / log(2) / 64)
 
 
-def make_level(keys: DataFrame, column: str, n_keys: int, rate: float, seed: int) -> Level:
-    """A filter of ``keys`` that lets about ``rate`` of other keys through. What reaches the driver is its bits."""
-    hashes, bits = hashes_of(rate), level_bits(n_keys, rate)
+def make_level(keys: DataFrame, column: str, expected: int, rate: float, seed: int) -> tuple[Level, int]:
+    """A filter of ``keys``, about ``expected`` of them, that lets about ``rate`` of other keys through, and how many keys it holds.
+
+    What reaches the driver is its bits.
+    """
+    hashes, bits = hashes_of(rate), level_bits(max(1, expected), rate)
     at = keys.select(F.explode(F.array(*places(F.col(column), bits, hashes, seed))).alias("at"))
-    words = at.groupBy(F.shiftright("at", 6).cast("int").alias("word")).agg(F.bit_or(F.call_function("shiftleft", F.lit(1).cast("bigint"), (F.col("at") % 64).cast("int"))).alias("mask"))
-    table = bytearray(bits // 8)
-    for word, mask in words.toLocalIterator():
+    mask = F.bit_or(F.call_function("shiftleft", F.lit(1).cast("bigint"), (F.col("at") % 64).cast("int")))
+    words = at.groupBy(F.shiftright("at", 6).cast("int").alias("word")).agg(mask.alias("mask"), F.count("*").alias("n"))
+    table, n = bytearray(bits // 8), 0
+    for word, mask, count in words.toLocalIterator(prefetchPartitions=True) if expected > 1 << 16 else words.collect():  # as many words as keys at most
         table[8 * word : 8 * word + 8] = (mask % (1 << 64)).to_bytes(8, "little")
-    return Level(bits, hashes, seed, bytes(table))
+        n += count
+    return Level(bits, hashes, seed, bytes(table)), n // hashes
 
 
 @dataclass(frozen=True)
@@ -136,28 +141,35 @@ def marked_keys(listed: DataFrame, universe: DataFrame, column: str = "key") ->
     return staged(keys.where(F.col(column).isNotNull()), "universe")
 
 
+LATER_RATE = 1 / 64
+
+
 def first_rate(n_in: int, n_out: int) -> float:
-    """The first level lets through about as many unlisted keys as there are listed ones; later ones halve them."""
+    """The first level lets through about half as many unlisted keys as there are listed ones."""
     return min(0.5, max(1e-6, n_in / max(1, n_out) / 2))
 
 
 def _cascade(keys: DataFrame, column: str, n_in: int, n_out: int, max_levels: int = 60) -> Cascade:
+    """One job for each level: how many keys it has to hold is expected from the rate before, and counted as it is made."""
     levels: list[Level] = []
-    left = keys
-    while n_in:
+    left, here, there = keys, n_in, n_out  # keys that this level encodes, and those that it should stop
+    while here:
         if len(levels) >= max_levels:
             raise ValueError("the cascade doesn't end; are keys repeated?")
-        rate = 0.5 if levels else first_rate(n_in, n_out)
+        rate = LATER_RATE if levels else first_rate(n_in, n_out)
         side = F.col("is_listed") == F.lit(len(levels) % 2 == 0)
-        levels.append(make_level(left.where(side), column, n_in, rate, len(levels)))
-        left = left.where(side | levels[-1].holds(F.col(column)))  # what this level encodes, and what it lets through wrongly
-        n_in = left.where(~side).count()
+        level, held = make_level(left.where(side), column, here, rate, len(levels))
+        if not held:
+            break
+        levels.append(level)
+        left = left.where(side | level.holds(F.col(column)))  # what this level encodes, and what it lets through wrongly
+        here, there = (ceil(there * rate) + 8 if there else 0), held
     return Cascade(tuple(levels))
 
 
 def _sizes(keys: DataFrame) -> tuple[int, int]:
-    n = {bool(row[0]): row[1] for row in keys.groupBy("is_listed").count().toLocalIterator()}
-    return n.get(True, 0), n.get(False, 0)
+    listed, n = keys.agg(F.count_if("is_listed"), F.count("*")).first()
+    return listed, n - listed
 
 
 def build_cascade(listed: DataFrame, universe: DataFrame, column: str = "key") -> Cascade:
@@ -196,7 +208,7 @@ def filter_urls(pages: DataFrame, rules: list[Rule], listed: DataFrame, url: str
     rows = pages.withColumns({host: host_of(F.col(url)), path: path_of(F.col(url))})
     seen = pages.select(host_of(F.col(url)).alias("host"), path_of(F.col(url)).alias("path")).distinct()
     universe = seen.select("host").distinct().select(F.explode(parents(F.col("host"))).alias("key")).distinct()
-    universe = universe.unionByName(seen.where((F.col("host") != "") & (F.col("path") != "")).select(F.concat("host", "path").alias("key")).distinct()).distinct()
+    universe = universe.unionByName(seen.where((F.col("host") != "") & (F.col("path") != "")).select(F.concat("host", "path").alias("key")))  # a domain has no slash, so all are distinct
     own = F.regexp_extract("host", "^[^/]*", 0)
     wanted = listed.select(F.concat(F.translate(own, UPPER, LOWER), F.regexp_extract("host", "(?s)/.*$", 0)).alias("key")).where(F.col("key") != "").distinct()
     columns = [F.col(f"`{c}`") for c in [*pages.columns, host, path]]
