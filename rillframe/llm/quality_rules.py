@@ -2,7 +2,7 @@
 
 A text is compared with the reference of its language: the Jensen-Shannon distance (base 2, so 0 to 1) of its
 character-class histogram, and that of its common-word histogram. References are summed over all texts that are
-long enough; short texts are guarded: below ``min_chars`` or ``min_words`` the distance is null and rejects nothing.
+long enough, so a text weighs by its length; short texts are guarded: below ``min_chars`` or ``min_words`` the distance is null and rejects nothing.
 
 One pass over the text stages each row with its histograms; references are summed from those (a shuffle of a few
 histogram rows), a row for each language, and joined to them; that of all texts is a constant of the plan.
