@@ -1,4 +1,14 @@
-"""Corpus pipeline: quality rules, language ID, near-dedup, decontamination, packing. See STAGES."""
+"""Corpus pipeline: quality rules, language ID, near-dedup, decontamination, packing. See STAGES.
+
+Each stage is written before the next one reads it, so a lost executor costs parts of one stage.
+
+Defined cases: documents with a null, empty or letterless text go in the first stage; a null language is judged by the
+reference of all texts, and isn't learned from; a corpus without any labelled language loses no text with letters in the
+second stage; documents with a null id are kept by near-dedup and packed; rows that repeat an id are kept or dropped
+together by near-dedup, and packed each for itself; of equal texts that with the smallest id stays; without benchmark
+items nothing is contaminated; empty tables give empty results; other columns pass through the first four stages,
+whatever their names.
+"""
 
 from __future__ import annotations
 
@@ -14,7 +24,7 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a language that is known well enough go."""
+    """Documents go of whose text less than half reads clearly as one of the languages that the corpus is labelled with."""
     return language_id.keep(docs)
 
 
