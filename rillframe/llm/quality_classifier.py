@@ -139,8 +139,9 @@ def fit(docs: DataFrame, labels: DataFrame, config: Config = Config(), doc_id: s
     rate = F.lit(0.0)
     for r in sums:
         rate = F.when(F.col("label") == r["label"], F.lit(min(1.0, config.per_class / r["n"], config.train_bytes / max(1, r["size"])))).otherwise(rate)
+    # what is drawn is bounded by per_class, so it can be sent to the texts
     draw = F.pmod(F.xxhash64(F.col("key").cast("string"), F.lit("sample")), F.lit(1 << 30)) / float(1 << 30)
-    found = texts.join(known.where(draw < rate), "key").groupBy("key").agg(F.min("label").alias("label"), F.min("text").alias("text")).collect()
+    found = texts.join(F.broadcast(known.where(draw < rate)), "key").groupBy("key").agg(F.min("label").alias("label"), F.min("text").alias("text")).collect()
     found.sort(key=lambda r: str(r["key"]))
     if not found:
         return None
