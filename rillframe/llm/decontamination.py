@@ -238,7 +238,7 @@ def _search(sent, config: Config) -> Callable[[pa.Array], list[list[tuple[object
     return run
 
 
-def _slices(batches: Iterator[pa.RecordBatch], column: int | str, most: int = 32 << 20) -> Iterator[pa.RecordBatch]:
+def _slices(batches: Iterator[pa.RecordBatch], column: int | str, most: int = 4 << 20) -> Iterator[pa.RecordBatch]:
     """Slices of batches whose texts have about ``most`` bytes, a row at least."""
     for batch in batches:
         upto = np.cumsum(pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False).astype(np.int64))

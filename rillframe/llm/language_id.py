@@ -202,10 +202,10 @@ def fit(docs: DataFrame, config: Config = Config(), doc_id: str = "doc_id", text
     if not languages:
         return None
     quota = min(config.per_language, max(1, config.total // languages))
-    chance = F.pmod(F.xxhash64("key", F.col("at")), F.lit(1 << 30)) * F.col("all") < F.lit(quota * (1 << 30))
-    windows = rows.join(counts, "lang").select("lang", "data", "key", "all", F.explode(F.sequence(F.lit(0), F.col("n").cast("int") - 1)).alias("at")).where(chance)
-    window = F.substring("data", F.col("at") * config.window + 1, F.lit(config.window))
-    found = sorted((r["lang"], bytes(r["window"])) for r in windows.select("lang", window.alias("window")).toLocalIterator())
+    drawn = F.filter(F.sequence(F.lit(0), F.col("n").cast("int") - 1), lambda at: F.pmod(F.xxhash64("key", at), F.lit(1 << 30)) * F.col("all") < F.lit(quota * (1 << 30)))
+    cut = F.transform(drawn, lambda at: F.substring("data", at * config.window + 1, F.lit(config.window)))  # a text is never copied for a window
+    windows = rows.join(counts, "lang").select("lang", F.explode(cut).alias("window"))
+    found = sorted((r["lang"], bytes(r["window"])) for r in windows.toLocalIterator())
     return train([w for _, w in found], [v for v, _ in found], config) if found else None
 
 

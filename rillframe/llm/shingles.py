@@ -60,7 +60,7 @@ def word_hashes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return hashes, per_text
 
 
-def shingle_sets(texts: list[bytes], block: int = 1 << 21) -> Iterator[np.ndarray]:
+def shingle_sets(texts: list[bytes], block: int = 1 << 20) -> Iterator[np.ndarray]:
     """For each lower-cased text the sorted distinct 64-bit hashes of its five-word shingles.
 
     A text of one to four words gives one hash, of the whole sequence; one without words gives none.
