@@ -1,9 +1,11 @@
-"""Packing's ids against the tokenizers library where a text holds the special token."""
+"""Packing's ids against the tokenizers library: the special token, and long texts that are encoded in parts."""
 
 import zlib
 
+import hypothesis
 import numpy as np
 import pytest
+from hypothesis import strategies as st
 
 from rillframe.llm import packing
 
@@ -20,3 +22,16 @@ def test_special_tokens_have_the_ids_of_the_file(spark):
         ids = np.array([*plain.encode(text, add_special_tokens=False).ids, 0], "<u4")
         assert (rows[i]["length"], rows[i]["ids_crc32"]) == (len(ids), zlib.crc32(ids.tobytes()))
     assert 50256 in plain.encode(texts[0], add_special_tokens=False).ids
+
+
+PARTS = ["a", "Word", "'s", " ", "  ", " \n ", "\t", "\x1c", "\x85", "\u00a0", "\u3000", "\u2028", "7", "12", "!", "...", "é", "e\u0301", "漢字", "\U0001f600", "<|endoftext|>", "\x00"]
+
+
+@hypothesis.settings(max_examples=300, deadline=None)
+@hypothesis.given(st.lists(st.sampled_from(PARTS), max_size=60).map("".join), st.integers(1, 12))
+def test_parts_have_the_ids_of_the_whole(text, most):
+    config = packing.public_config(part_chars=most)
+    made = list(packing.parts(text, most))
+    assert "".join(made) == text and len(made) <= 1 + len(text) // most
+    whole = packing.encoder(config.vocabulary).encode(text, add_special_tokens=False).ids
+    assert packing.ids_of(text, config).tolist() == [*whole, 0]

@@ -6,7 +6,7 @@ import numpy as np
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from rillframe.llm import packing, sharding
+from rillframe.llm import sharding
 from tests.llm.test_documents import empty, prose
 
 
@@ -26,7 +26,7 @@ def test_place_follows_the_rule(groups, shards):
 def test_blocks_of_groups_stay_balanced(spark):
     texts = [prose(i, 5 + i % 60) for i in range(3000)]
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
-    encode = packing.encoder(*(lambda c: (c.ranks, c.pattern))(packing.public_config())).encode
+    encode = sharding.encoder(sharding.public_vocabulary()).encode
     rows = sharding.assign(docs, sharding.Config(block_groups=300)).collect()
     sums = {k: np.zeros(3) for k in range(24)}
     for r in rows:
