@@ -23,10 +23,8 @@ columns are not read.
 
 from __future__ import annotations
 
-import base64
 from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import lru_cache, partial
 
 import numpy as np
 import pandas as pd
@@ -34,6 +32,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from rillframe.llm import packing
 from rillframe.llm.common import staged, unused
 
 DIMENSIONS = ("size", "tokens", "rows")
@@ -48,31 +47,6 @@ class Config:
     piece_rows: int = 200_000
 
 
-@dataclass(frozen=True)
-class Vocabulary:
-    """``ranks``: a byte-level BPE vocabulary as base64 tokens with ranks, of which ``pattern`` cuts the words."""
-
-    ranks: str
-    pattern: str
-    special: str = "<|endoftext|>"  # the token that follows the ranks
-
-
-def public_vocabulary() -> Vocabulary:
-    """The public 50k byte-level vocabulary, in the form of the library that counts its tokens fastest."""
-    import public_tokenizers
-
-    return Vocabulary(public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
-
-
-@lru_cache(maxsize=2)
-def encoder(vocabulary: Vocabulary):
-    import tiktoken
-
-    with open(vocabulary.ranks, "rb") as lines:
-        table = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
-    return tiktoken.Encoding("public", pat_str=vocabulary.pattern, mergeable_ranks=table, special_tokens={vocabulary.special: len(table)})
-
-
 def place(shares: np.ndarray, residual: np.ndarray) -> np.ndarray:
     """The shard of each group (n, dimensions), given in shares of a shard; ``residual`` (shards, dimensions) is used up.
 
@@ -89,17 +63,16 @@ def text_key(text: str) -> Column:
     return F.xxhash64(F.coalesce(F.col(text), F.lit("")), F.col(text).isNull())
 
 
-def measured(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", vocabulary: Vocabulary | None = None) -> DataFrame:
+def measured(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", vocabulary: packing.Config | None = None) -> DataFrame:
     """doc_id, size, tokens, rows (1), text_crc32, text_key and row, the row's number, staged."""
-    vocabulary = vocabulary or public_vocabulary()
+    vocabulary = vocabulary or packing.public_config()
     value = F.coalesce(F.col(text).cast("string"), F.lit(""))
     own = docs.schema[doc_id].dataType.simpleString()
     rows = docs.select(F.col(doc_id).alias("doc_id"), value.alias("text"), (F.octet_length(value).cast("long") + 8).alias("size"), F.crc32(value.cast("binary")).alias("text_crc32"), text_key(text).alias("text_key"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = partial(encoder(vocabulary).encode, allowed_special="all")
         for batch in batches:
-            tokens = pa.array([len(encode(t.as_py())) for t in batch.column(1)], pa.int64())
+            tokens = pa.array([sum(map(len, packing.ids(t.as_py(), vocabulary))) for t in batch.column(1)], pa.int64())
             yield pa.RecordBatch.from_arrays([batch.column(0), *batch.columns[2:], tokens], names=["doc_id", "size", "text_crc32", "text_key", "tokens"])
 
     counted = rows.mapInArrow(run, f"doc_id {own}, size bigint, text_crc32 bigint, text_key bigint, tokens bigint")
@@ -154,7 +127,7 @@ def with_shard(rows: DataFrame, large: list[tuple[int, list[int]]], others: Data
     return first.unionByName(rows.where(F.col(parts).isNull()).join(others, F.col(key) == F.col(other)).select(*kept, F.col(its).alias(shard)))
 
 
-def assign(docs: DataFrame, config: Config = Config(), doc_id: str = "doc_id", text: str = "text", vocabulary: Vocabulary | None = None) -> DataFrame:
+def assign(docs: DataFrame, config: Config = Config(), doc_id: str = "doc_id", text: str = "text", vocabulary: packing.Config | None = None) -> DataFrame:
     """doc_id, size, text_crc32, law, shard, slot (gapless from 0 in each shard), grown_shard (null under this law)."""
     rows = measured(docs, doc_id, text, vocabulary)
     rows = staged(with_shard(rows, *shards_of(rows, config)).select("doc_id", "size", "text_crc32", "row", "shard"), "sharded")
@@ -167,7 +140,7 @@ def assign(docs: DataFrame, config: Config = Config(), doc_id: str = "doc_id", t
     return numbered.join(starts, ["shard", "piece"]).select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", (F.col("start") + F.col("at") - 1).cast("long").alias("slot"), F.lit(None).cast("int").alias("grown_shard"))
 
 
-def write_shards(docs: DataFrame, path: str, config: Config = Config(), doc_id: str = "doc_id", text: str = "text", vocabulary: Vocabulary | None = None) -> None:
+def write_shards(docs: DataFrame, path: str, config: Config = Config(), doc_id: str = "doc_id", text: str = "text", vocabulary: packing.Config | None = None) -> None:
     """Write the documents with all their columns, a folder shard=... for each shard."""
     key, row, shard = unused(docs, "text_key", "row", "shard")
     large, others = shards_of(measured(docs, doc_id, text, vocabulary), config)
