@@ -30,7 +30,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -192,6 +192,11 @@ def train(texts: list[bytes], labels: list[str], config: Config = Config()) -> B
     return model
 
 
+def is_drawn(key: str, at: Column, quota: int, of: Column) -> Column:
+    """Whether window ``at`` of a text is among about ``quota`` of ``of`` windows; in doubles, as the product outgrows a long."""
+    return F.pmod(F.xxhash64(key, at), F.lit(1 << 30)) * of.cast("double") < F.lit(float(quota * (1 << 30)))
+
+
 def fit(docs: DataFrame, config: Config = Config(), doc_id: str = "doc_id", text: str = "text", lang: str = "lang") -> ByteCnn | None:
     """Learned from text and non-null lang of the documents of folds 0, 1 and 3. None if there are none."""
     chosen = docs.where((crc_fold(doc_id) != 2) & F.col(lang).isNotNull() & F.col(text).rlike(r"\p{L}"))
@@ -202,7 +207,7 @@ def fit(docs: DataFrame, config: Config = Config(), doc_id: str = "doc_id", text
     if not languages:
         return None
     quota = min(config.per_language, max(1, config.total // languages))
-    drawn = F.filter(F.sequence(F.lit(0), F.col("n").cast("int") - 1), lambda at: F.pmod(F.xxhash64("key", at), F.lit(1 << 30)) * F.col("all") < F.lit(quota * (1 << 30)))
+    drawn = F.filter(F.sequence(F.lit(0), F.col("n").cast("int") - 1), lambda at: is_drawn("key", at, quota, F.col("all")))
     cut = F.transform(drawn, lambda at: F.substring("data", at * config.window + 1, F.lit(config.window)))  # a text is never copied for a window
     windows = rows.join(counts, "lang").select("lang", F.explode(cut).alias("window"))
     found = sorted((r["lang"], bytes(r["window"])) for r in windows.toLocalIterator())
