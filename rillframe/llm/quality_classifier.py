@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from rillframe.llm.common import crc_fold, unused
+from rillframe.llm.common import crc_fold, staged, unused
 from rillframe.llm.textmodels import Adam
 
 
@@ -133,15 +133,17 @@ def fit(docs: DataFrame, labels: DataFrame, config: Config = Config(), doc_id: s
     known = known.groupBy(F.col(doc_id).alias("key")).agg((F.avg(quality) >= 0.5).cast("int").alias("label"))
     size = F.octet_length(F.coalesce(F.col(text), F.lit("")))
     texts = docs.where(size <= config.longest_bytes).select(F.col(doc_id).alias("key"), F.coalesce(F.col(text), F.lit("")).alias("text"), size.alias("size"))
-    sums = texts.select("key", "size").join(known, "key").groupBy("label").agg(F.count("*").alias("n"), F.sum("size").alias("size")).collect()  # a row for each class
+    usable = staged(texts.select("key", "size").join(known, "key"), "labelled")
+    sums = usable.groupBy("label").agg(F.count("*").alias("n"), F.sum("size").alias("size")).collect()  # a row for each class
     if not sums:
         return None
     rate = F.lit(0.0)
     for r in sums:
         rate = F.when(F.col("label") == r["label"], F.lit(min(1.0, config.per_class / r["n"], config.train_bytes / max(1, r["size"])))).otherwise(rate)
-    # what is drawn is bounded by per_class, so it can be sent to the texts
+    # of the n labelled texts of a class about per_class are drawn at most, however many labels there are, so their ids can be sent
     draw = F.pmod(F.xxhash64(F.col("key").cast("string"), F.lit("sample")), F.lit(1 << 30)) / float(1 << 30)
-    found = texts.join(F.broadcast(known.where(draw < rate)), "key").groupBy("key").agg(F.min("label").alias("label"), F.min("text").alias("text")).collect()
+    drawn = usable.where(draw < rate).select("key", "label").distinct()
+    found = texts.join(F.broadcast(drawn), "key").groupBy("key").agg(F.min("label").alias("label"), F.min("text").alias("text")).collect()
     found.sort(key=lambda r: str(r["key"]))
     if not found:
         return None
