@@ -4,9 +4,11 @@ Pages of a host come from a few templates. A page is read as its text blocks (te
 and the folded tree of its containers (div, section, article and the like): siblings of one name are one node. Elements
 that are never an article's text by element, role or class (menus, headers, footers, forms and so on) are left out first.
 
-1. Alignment: the trees of a host's pages are aligned by simple tree matching (``matched``). A tree joins the first of
-   its host's ``leaders`` most frequent trees that it matches in ``alike`` percent of the nodes of both; any other tree is
-   a cluster of its own, with the pages that have exactly this tree. Matched nodes are those of equal paths.
+1. Alignment: the trees of a host's pages are aligned by simple tree matching (``matched``). A host's most frequent trees
+   lead: a tree joins the first leader that it matches in ``alike`` percent of the nodes of both, and a leader an earlier
+   one. Of the trees that join none, the most frequent lead in the next round, in which there are more leaders, until no
+   tree is left. So a tree is a cluster of its own, with the pages that have exactly this tree, only if it has led itself,
+   after it was held against the leaders of every round before. Matched nodes are those of equal paths.
 2. Template: a block that 90 % of a cluster's pages, two at least, hold at the same path with the same text. An odd page
    cancels nothing.
 3. Region: the smallest container that holds four fifths of the text that varies over the cluster; an article or main
@@ -52,9 +54,9 @@ from rillframe.llm.url_filter import host_of
 CONTAINERS = frozenset("article aside body center div fieldset footer form header html main nav section".split())
 
 # Fixed values. Percent of a cluster's pages that hold a template block; percent of the nodes of two trees that match in
-# a cluster; percent of the varying text that the region holds; how many trees of a host others are aligned with, and how
-# many are aligned in one go.
-CONSTANT, ALIKE, HELD, LEADERS, TREES = 90, 80, 80, 32, 200
+# a cluster; percent of the varying text that the region holds; how many trees of a host lead in the first round, how many
+# times as many in each next round, and in any round at most; how many are aligned in one go, at least.
+CONSTANT, ALIKE, HELD, LEADERS, MORE, MOST, TREES = 90, 80, 80, 32, 4, 8192, 200
 
 Tree = list  # [parent, name, ...] of each node, parents first; the root's parent is -1
 
@@ -252,7 +254,7 @@ def similar(a: Tree, b: Tree) -> bool:
 
 
 def leader_of(shape: int, tree: Tree, leaders: list[tuple[int, Tree]]) -> int:
-    """The first leader (frequent trees first) that a tree aligns with; leaders align with earlier ones only."""
+    """The plain rule of a round: the first leader that a tree aligns with; leaders align with earlier ones only."""
     for other, its in leaders:
         if other == shape:
             break
@@ -261,6 +263,91 @@ def leader_of(shape: int, tree: Tree, leaders: list[tuple[int, Tree]]) -> int:
     return shape
 
 
+def needed(a: int, b: int) -> int:
+    """How many nodes trees of a and b nodes have in common at least if they are similar."""
+    return -(-ALIKE * (a + b) // 200)
+
+
+class Leaders:
+    """The leaders of a round, frequent trees first: (shape, tree).
+
+    Matched nodes have equal paths of names, so similar trees share enough of those, and then one of the rarest of each
+    (prefix filter): only such leaders are aligned. None that is similar is passed over.
+    """
+
+    def __init__(self, leaders: list[tuple[int, Tree]]) -> None:
+        self.leaders, self.place = leaders, {shape: k for k, (shape, _) in enumerate(leaders)}
+        self.known: dict[tuple, int] = {}  # numbers of paths, by (number of the path above, name); a repeated path has further ones
+        self.clusters: dict[int, int] = {}
+        nodes = [self.numbers(tree, new=True) for _, tree in leaders]
+        self.often = Counter(k for own in nodes for k in own)
+        self.nodes = [frozenset(own) for own in nodes]
+        self.rare: dict[int, list[int]] = {}  # leaders by the nodes that they share with a similar tree of their size or more
+        self.rarer: dict[int, list[int]] = {}  # of any size
+        for place, own in enumerate(nodes):
+            own.sort(key=self.rank)
+            for index, few in zip((self.rare, self.rarer), self.prefixes(len(own)), strict=True):
+                for k in own[:few]:
+                    index.setdefault(k, []).append(place)
+
+    def numbers(self, tree: Tree, new: bool = False) -> list[int]:
+        """Of the nodes that leaders have, each once."""
+        find = (lambda key: self.known.setdefault(key, len(self.known))) if new else self.known.get
+        paths: list[int | None] = []
+        seen: Counter = Counter()
+        out = []
+        for parent, name, *_ in tree:
+            above = paths[parent] if parent >= 0 else -1
+            path = None if above is None else find((above, name))
+            paths.append(path)
+            if path is not None:
+                seen[path] += 1
+                k = path if seen[path] == 1 else find((path, seen[path]))
+                if k is not None:
+                    out.append(k)
+        return out
+
+    def rank(self, k: int) -> tuple[int, int]:
+        return self.often[k], k
+
+    @staticmethod
+    def prefixes(size: int) -> tuple[int, int]:
+        """How many of its rarest nodes a tree shares one of with a similar tree of its size or more, and of any size."""
+        return size - needed(size, size) + 1, size - needed(size, -(-ALIKE * size // (200 - ALIKE))) + 1
+
+    def first(self, tree: Tree, before: int) -> int | None:
+        """The place of the first leader, before this place, that a tree is similar to."""
+        size, own = len(tree), sorted(self.numbers(tree), key=self.rank)
+        none = size - len(own)  # nodes that no leader has are the rarest
+        few, more = self.prefixes(size)
+        found = {p for k in own[: max(0, more - none)] for p in self.rare.get(k, ()) if p < before}
+        found |= {p for k in own[: max(0, few - none)] for p in self.rarer.get(k, ()) if p < before}
+        nodes = frozenset(own)
+        for p in sorted(found):
+            its = self.leaders[p][1]
+            if len(nodes & self.nodes[p]) >= needed(size, len(its)) and similar(tree, its):
+                return p
+        return None
+
+    def led(self, place: int) -> int:
+        """The cluster of a leader."""
+        way = []
+        at: int | None = place
+        while at is not None and at not in self.clusters:
+            way.append(at)
+            at = self.first(self.leaders[at][1], at)
+        cluster = self.leaders[way[-1]][0] if at is None else self.clusters[at]
+        self.clusters |= dict.fromkeys(way, cluster)
+        return cluster
+
+    def cluster_of(self, shape: int, tree: Tree) -> int | None:
+        """The cluster that a tree of the host joins or leads; None if it is left to the next round."""
+        place = self.place.get(shape)
+        if place is None:
+            place = self.first(tree, len(self.leaders))
+        return None if place is None else self.led(place)
+
+
 def wrapper_of(tree: Tree, pages: int, rows: list[tuple[int, int, int, int]]) -> tuple[list[int], int | None]:
     """(template blocks, path of the region or None for the whole page), from a cluster's (container, block, pages, characters)."""
     paths: list[int] = []
@@ -314,8 +401,12 @@ def induce(pages: list[str], host: str = "") -> str:
     found, trees = counts((digest(host), p) for p in pages)
     trees = {shape: json.loads(t) for shape, t in trees.items()}
     often = Counter({shape: n for (_, shape, _, block), (n, _) in found.items() if block == PAGE})
-    leaders = [(s, trees[s]) for s in sorted(often, key=lambda s: (-often[s], s))[:LEADERS]]
-    cluster = {s: leader_of(s, t, leaders) for s, t in trees.items()}
+    rest, size = sorted(often, key=lambda s: (-often[s], s)), LEADERS
+    cluster: dict[int, int] = {}
+    while rest:
+        leaders = Leaders([(s, trees[s]) for s in rest[:size]])
+        cluster |= {s: c for s in rest if (c := leaders.cluster_of(s, trees[s])) is not None}
+        rest, size = [s for s in rest if s not in cluster], min(MORE * size, MOST)
     sums: dict[int, dict[tuple, list[int]]] = {}
     for (_, shape, container, block), (n, chars) in found.items():
         entry = sums.setdefault(cluster[shape], {}).setdefault((container, block), [0, 0])
@@ -375,21 +466,38 @@ def induce_wrappers(pages: DataFrame, url: str = "url", html: str = "html") -> D
 
 
 def _clusters(shapes: DataFrame) -> DataFrame:
-    """(shape, cluster) of (home, shape, n, tree): each tree against its home's leaders, trees in lists of about TREES."""
+    """(shape, cluster) of (home, shape, n, tree), in rounds until every tree has its cluster."""
+    found, size = None, LEADERS
+    while True:
+        joined = staged(_round(shapes, size), "clusters")
+        own = joined.where(F.col("cluster").isNotNull()).select("shape", "cluster")
+        found = own if found is None else found.unionByName(own)
+        shapes = joined.where(F.col("cluster").isNull()).select("home", "shape", "n", "tree")
+        if shapes.isEmpty():
+            return found
+        size = min(MORE * size, MOST)
+
+
+def _round(shapes: DataFrame, size: int) -> DataFrame:
+    """(home, shape, n, tree, cluster): each tree against as many leaders of its home, in lists of about ``TREES`` trees or as many as leaders."""
     order = Window.partitionBy("home").orderBy(F.desc("n"), "shape")
-    first = shapes.withColumn("place", F.row_number().over(order)).where(F.col("place") <= LEADERS)
+    first = shapes.withColumn("place", F.row_number().over(order)).where(F.col("place") <= size)
     leaders = first.groupBy("home").agg(F.array_sort(F.collect_list(F.struct("place", "shape", "tree"))).alias("leaders"))
-    lists = shapes.groupBy("home").agg(F.ceil(F.count("*") / TREES).alias("lists"))
-    dealt = shapes.join(lists, "home").groupBy("home", F.pmod("shape", "lists").alias("list")).agg(F.collect_list(F.struct("shape", "tree")).alias("trees"))
+    lists = shapes.groupBy("home").agg(F.ceil(F.count("*") / max(TREES, size)).alias("lists"))
+    dealt = shapes.join(lists, "home").groupBy("home", F.pmod("shape", "lists").alias("list")).agg(F.collect_list(F.struct("shape", "n", "tree")).alias("trees"))
+    leaders = leaders.join(lists, "home").select("home", "leaders", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("lists") - 1)).alias("list"))  # so lists of a home are dealt over tasks
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for r in batch.to_pylist():
-                known = [(e["shape"], json.loads(e["tree"])) for e in r["leaders"]]
-                found = [(e["shape"], leader_of(e["shape"], json.loads(e["tree"]), known)) for e in r["trees"]]
-                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*found, strict=True)], names=["shape", "cluster"])
-
-    return staged(dealt.join(leaders, "home").select("trees", "leaders").mapInArrow(run, "shape bigint, cluster bigint"), "clusters")
+            for at in range(batch.num_rows):
+                (r,) = batch.slice(at, 1).to_pylist()
+                known, trees = Leaders([(e["shape"], json.loads(e["tree"])) for e in r["leaders"]]), r["trees"]
+                found = [known.cluster_of(e["shape"], json.loads(e["tree"])) for e in trees]
+                left = [e["tree"] if c is None else None for e, c in zip(trees, found, strict=True)]
+                columns = [[r["home"]] * len(trees), [e["shape"] for e in trees], [e["n"] for e in trees], left, found]
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, [pa.int64()] * 3 + [pa.string(), pa.int64()], strict=True)], names=["home", "shape", "n", "tree", "cluster"])
+
+    return dealt.join(leaders, ["home", "list"]).select("home", "trees", "leaders").mapInArrow(run, "home bigint, shape bigint, n bigint, tree string, cluster bigint")
 
 
 BLOCK = [("id", pa.int64(), T.LongType()), ("text", pa.string(), T.StringType()), ("inside", pa.bool_(), T.BooleanType()), ("heading", pa.bool_(), T.BooleanType())]
